@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from railmart import constants as C
-from railmart.functions.geo import country_of, step_value
+from railmart.functions.geo import first_rectangle, step_value
 
 
 def lookup(key: Column, table: dict[str, float], default: float) -> Column:
@@ -18,25 +18,34 @@ def lookup(key: Column, table: dict[str, float], default: float) -> Column:
 
 
 def electricity_factor(lat: Column, lon: Column) -> Column:
-    return lookup(country_of(lat, lon), C.ELECTRICITY, C.DEFAULT_ELECTRICITY)
+    """kg CO2 per kWh at a place. Rectangles lead straight to the value of their country, so a row
+    takes one walk through them."""
+    factors = [(C.ELECTRICITY[code], *sides) for code, *sides in C.COUNTRY_RECTANGLES]
+    return F.coalesce(first_rectangle(lat, lon, factors), F.lit(C.DEFAULT_ELECTRICITY))
 
 
 def train_co2(distance_km: Column, lat: Column, lon: Column) -> Column:
-    kwh = distance_km * C.TRAIN_WH_PER_PKM / 1000.0
+    kwh = distance_km * (C.TRAIN_WH_PER_PKM / 1000.0)
     return F.when(distance_km > 0, kwh * electricity_factor(lat, lon))
 
 
+def flight_intensity(distance_km: Column) -> Column:
+    """kg CO2 per seat km: burn, load and forcing depend on the distance alone, so their three step
+    tables are one table over all their bounds."""
+    tables = (C.KEROSENE_G_PER_SEAT_KM, C.LOAD_FACTOR, C.RADIATIVE_FORCING)
+    bounds = sorted({upper for table in tables for upper, _ in table if upper is not None})
+    steps = []
+    for upper in [*bounds, None]:
+        burn, load, forcing = (
+            next(v for u, v in table if u is None or (upper is not None and upper <= u))
+            for table in tables
+        )
+        steps.append((upper, burn / load / 1000.0 * C.KEROSENE_KG_CO2_PER_KG * forcing))
+    return step_value(distance_km, steps)
+
+
 def plane_co2(distance_km: Column) -> Column:
-    kerosene_kg = (
-        distance_km
-        * step_value(distance_km, C.KEROSENE_G_PER_SEAT_KM)
-        / step_value(distance_km, C.LOAD_FACTOR)
-        / 1000.0
-    )
-    return F.when(
-        distance_km > 0,
-        kerosene_kg * C.KEROSENE_KG_CO2_PER_KG * step_value(distance_km, C.RADIATIVE_FORCING),
-    )
+    return F.when(distance_km > 0, distance_km * flight_intensity(distance_km))
 
 
 def is_plane(vehicule_type: Column) -> Column:

@@ -24,14 +24,19 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     )
 
 
-def country_of(lat: Column, lon: Column) -> Column:
-    """ISO code of the first rectangle that holds the point; NULL at (0, 0) or outside all."""
-    arms = reduce(
+def first_rectangle(lat: Column, lon: Column, rectangles: list[tuple]) -> Column:
+    """Value of the first (value, lat min, lat max, lon min, lon max) that holds the point; NULL at
+    (0, 0) or outside all."""
+    return reduce(
         lambda case, r: case.when(lat.between(r[1], r[2]) & lon.between(r[3], r[4]), F.lit(r[0])),
-        C.COUNTRY_RECTANGLES,
-        F.when((lat == 0.0) & (lon == 0.0), F.lit(None).cast("string")),
+        rectangles,
+        F.when((lat == 0.0) & (lon == 0.0), F.lit(None)),
     )
-    return arms
+
+
+def country_of(lat: Column, lon: Column) -> Column:
+    """ISO code of a place by rectangles."""
+    return first_rectangle(lat, lon, C.COUNTRY_RECTANGLES)
 
 
 def step_value(x: Column, steps: list[tuple[float | None, float]]) -> Column:

@@ -278,8 +278,9 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     low = values.agg(F.min("x")).scalar()
     high = values.agg(F.max("x")).scalar()
     width = (high - low) / bins
-    slot = F.least(F.floor(F.coalesce(F.try_divide((F.col("x") - low) * bins, high - low), F.lit(0.0))) + 1, F.lit(bins))
-    counts = values.groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    place = F.coalesce(F.try_divide((F.col("x") - low) * bins, high - low), F.lit(0.0))
+    slotted = values.select(F.least(F.floor(place) + 1, F.lit(bins)).cast("int").alias("bin"))
+    counts = slotted.groupBy("bin").agg(F.count("*").alias("n"))
     all_bins = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counts, "bin", "left").select(
         "bin",

@@ -21,20 +21,24 @@ def is_rail(route_type: Column) -> Column:
     return (route_type == C.RAIL_ROUTE_TYPE) | route_type.between(*C.RAIL_ROUTE_TYPE_RANGE)
 
 
-def rail_only(routes: DataFrame) -> DataFrame:
-    """Routes with a readable rail type."""
+def rail_only(routes: DataFrame, strict: bool = False) -> DataFrame:
+    """Routes with a readable rail type. The train type is a matter of the route, so it is settled
+    here, once per route instead of once per call or pair."""
     readable = routes.withColumn("route_type", F.col("route_type").try_cast("int"))
-    return readable.where(is_rail(F.col("route_type")))
+    code = service_code(F.col("route_short_name"), F.col("route_long_name"))
+    return readable.where(is_rail(F.col("route_type"))).withColumn(
+        "base_type", classify_timetable(code, F.col("route_type"), strict)
+    )
 
 
-def rail_trips(trips: DataFrame, routes: DataFrame) -> DataFrame:
-    return trips.join(rail_only(routes), ["feed", "route_id"])
+def rail_trips(trips: DataFrame, routes: DataFrame, strict: bool = False) -> DataFrame:
+    return trips.join(rail_only(routes, strict), ["feed", "route_id"])
 
 
 def rail_calls(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     """Calls (stop times) of rail trips with the attributes of their route."""
     calls = stop_times.withColumn("stop_sequence", F.col("stop_sequence").try_cast("int"))
-    attributes = trips.select(*TRIP, "route_type", "route_short_name", "route_long_name")
+    attributes = trips.select(*TRIP, "route_type", "route_short_name", "route_long_name", "base_type")
     return calls.join(attributes, TRIP)
 
 
@@ -129,8 +133,7 @@ def stop_pairs(
     named = stop_points(stops).where(named_stop(F.col("sname"), F.col("lat")))
     called = calls.join(named, ["feed", "stop_id"]).where(F.col("stop_sequence").isNotNull())
     first = F.min(
-        F.struct("stop_sequence", "departure_time", "lat", "lon", "stop_id",
-                 "route_type", "route_short_name", "route_long_name")
+        F.struct("stop_sequence", "departure_time", "lat", "lon", "stop_id", "base_type")
     ).alias("a")
     last = F.max(F.struct("stop_sequence", "arrival_time", "lat", "lon", "stop_id")).alias("b")
     served = called.groupBy(*TRIP, "sname").agg(first, last)
@@ -153,19 +156,14 @@ def stop_pairs(
         F.col("b.lat").alias("station_lat_dest"),
         F.col("b.lon").alias("station_long_dest"),
         F.col("b.arrival_time").alias("arrival_time"),
-        F.col("a.route_type").alias("route_type"),
-        F.col("a.route_short_name").alias("route_short_name"),
-        F.col("a.route_long_name").alias("route_long_name"),
+        F.col("a.base_type").alias("base_type"),
     )
     return keep_first(rows, ["feed", "origin", "destination"], ["departure_time", "trip_id"])
 
 
-def with_train_type(pairs: DataFrame, strict: bool = False) -> DataFrame:
-    code = service_code(F.col("route_short_name"), F.col("route_long_name"))
-    base = classify_timetable(code, F.col("route_type"), strict)
-    typed_pairs = pairs.withColumn("base_type", base)
+def with_train_type(pairs: DataFrame) -> DataFrame:
     night = is_night(hour_of(F.col("departure_time")), F.col("base_type"))
-    return typed_pairs.withColumn("is_night_train", night).withColumn(
+    return pairs.withColumn("is_night_train", night).withColumn(
         "vehicule_type", final_type(F.col("base_type"), F.col("is_night_train"))
     )
 
@@ -174,9 +172,9 @@ def timetable_legs(
     tables: dict[str, DataFrame], strict: bool = False, min_km: float | None = None
 ) -> DataFrame:
     """Legs of all feeds in one plan."""
-    trips = rail_trips(tables["trips"], tables["routes"])
+    trips = rail_trips(tables["trips"], tables["routes"], strict)
     calls = rail_calls(tables["stop_times"], trips)
-    pairs = with_train_type(stop_pairs(calls, tables["stops"], min_km), strict)
+    pairs = with_train_type(stop_pairs(calls, tables["stops"], min_km))
     return typed(
         pairs.withColumns({"source": F.lit("mobility_db"), "provider": F.col("feed")}), LEG_TYPES
     )

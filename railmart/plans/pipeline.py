@@ -53,7 +53,16 @@ def star_schema(
     gazetteer: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Staging tables of the star schema from the final relation."""
-    fact = fact_corridors(routes)
+    return star_tables(routes, fact_corridors(routes), footfall, communes, gazetteer)
+
+
+def star_tables(
+    routes: DataFrame,
+    fact: DataFrame,
+    footfall: DataFrame | None = None,
+    communes: DataFrame | None = None,
+    gazetteer: DataFrame | None = None,
+) -> dict[str, DataFrame]:
     stations = enrich_stations(dim_station(fact), footfall, communes, gazetteer)
     return {
         "dim_vehicle_type": dim_vehicle_type(routes),
@@ -90,8 +99,14 @@ def run(
     if airports is not None:
         links = staged(nearest_airports(stations_of(rail), airports, band=band), f"{work}/airport_links")
     routes = staged(final_routes(rail, links, bidirectional), f"{work}/routes_final")
-    tables = star_schema(routes, footfall, communes, gazetteer)
-    tables["routes_final"] = routes
+    fact = staged(fact_corridors(routes), f"{work}/fact")
+    tables = star_tables(routes, fact, footfall, communes, gazetteer)
+    stations = staged(tables["dim_station_frequentation"], f"{work}/dim_station")
+    tables |= {
+        "routes_final": routes,
+        "dim_station_frequentation": stations,
+        "fact_wide": fact_wide(fact, stations),
+    }
     if links is not None:
         tables["airport_links"] = links
     return tables

@@ -7,6 +7,11 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# HotSpot does not compile methods of more than 8000 bytes. A fused stage above that would run
+# interpreted; with this limit Spark splits it into methods that are compiled.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are written for; `conf` overrides any of them."""
     settings = {
@@ -15,7 +20,9 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        METHOD_LIMIT[0]: METHOD_LIMIT[1],
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     builder = SparkSession.builder.appName("railmart")
@@ -26,6 +33,12 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session built elsewhere the one setting that the long CASE expressions need."""
+    spark.conf.set(*METHOD_LIMIT)
+    return spark
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared checkpoint folder and go on from there.
 
