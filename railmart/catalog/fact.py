@@ -15,6 +15,7 @@ from railmart.operators.star import (
     planes, resolve_keys, trains, upsert, warehouse_types,
 )
 from railmart.plans import modelling, queries
+from railmart.session import cut_lineage
 
 FACT_COLUMNS = [
     "origin", "destination", "vehicule_type", "co2_train_kg", "co2_avion_kg", "co2_saved_kg",
@@ -92,7 +93,7 @@ def fact_enriched(spark, sf):
 def fk_resolution(spark, sf):
     """Fact rows with all four keys, shown by the natural keys they resolve to."""
     routes = S.routes(spark, sf)
-    fact = fact_corridors(routes)
+    fact = cut_lineage(fact_corridors(routes))
     route, vehicle, station = dim_route(routes), dim_vehicle_type(routes), dim_station(fact)
     keyed = resolve_keys(fact, route, vehicle, station)
     start = station.select(F.col("station_id").alias("origin_station_id"), F.col("station_name").alias("origin_station"))
@@ -149,7 +150,8 @@ def hash_key_collisions(spark, sf):
 
 def view(spark, sf):
     routes = S.routes(spark, sf)
-    fact, route, vehicle = fact_corridors(routes), dim_route(routes), dim_vehicle_type(routes)
+    fact, route = cut_lineage(fact_corridors(routes)), cut_lineage(dim_route(routes))
+    vehicle = dim_vehicle_type(routes)
     keys = route.select("route_id", F.col("dep_name").alias("origin"), F.col("arr_name").alias("destination"))
     keyed = fact.select("origin", "destination", "vehicule_type", "co2_train_kg", "co2_avion_kg").join(
         keys, ["origin", "destination"]

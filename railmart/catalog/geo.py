@@ -91,7 +91,7 @@ def corridors(spark, sf):
 
 
 def plane_corridors_query(spark, sf):
-    rail = rail_routes(S.train_legs(spark, sf))
+    rail = S.rail(spark, sf)
     links = nearest_airports(stations_of(rail), S.airports(spark, sf))
     flights = plane_corridors(rail, links).select(
         "origin", "destination", "iata_origin", "iata_dest", "distance_km", "co2_kg"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from railmart.catalog import standins as S
 from railmart.operators import profile as P
 from railmart.operators.quantiles import median
+from railmart.session import cut_lineage
 
 COMPLETE = ["distance_km", "co2_kg", "departure_time", "station_lat"]
 MONEY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -16,6 +17,11 @@ def rows_of_view(spark, sf):
     return P.dashboard_rows(S.view(spark, sf))
 
 
+def stored_rides(spark, sf):
+    """Rides as a table, for the statistics that pass over them more than once."""
+    return cut_lineage(S.rides(spark, sf).select("vehicule_type", "distance_km", "co2_kg"))
+
+
 def lines(spark, sf):
     return S.table(spark, sf, "lineitem")
 
@@ -78,7 +84,7 @@ def column_profile(spark, sf):
 
 
 def summary_stats(spark, sf):
-    stats = P.summary(S.rides(spark, sf), ["distance_km", "co2_kg"])
+    stats = P.summary(stored_rides(spark, sf), ["distance_km", "co2_kg"])
     return S.rounded(stats, 4, "sum mean std min max q1 median q3")
 
 
@@ -99,7 +105,7 @@ def intensity_by_type(spark, sf):
 
 
 def distance_category(spark, sf):
-    boxes = P.category_boxes(S.view(spark, sf))
+    boxes = P.category_boxes(cut_lineage(S.view(spark, sf).select("is_long_distance", "co2_kg")))
     return S.rounded(boxes, 4, "q1 median q3 whisker_low whisker_high")
 
 
@@ -136,7 +142,7 @@ def dup_count(spark, sf):
 
 
 def iqr_outliers(spark, sf):
-    return S.rounded(P.iqr_outliers(rows_of_view(spark, sf), "co2_kg"), 4, "low high")
+    return S.rounded(P.iqr_outliers(cut_lineage(rows_of_view(spark, sf).select("co2_kg")), "co2_kg"), 4, "low high")
 
 
 def histogram(spark, sf):
@@ -144,7 +150,7 @@ def histogram(spark, sf):
 
 
 def box_stats(spark, sf):
-    boxes = P.box_stats(S.rides(spark, sf).where(F.col("co2_kg").isNotNull()), "co2_kg", "vehicule_type")
+    boxes = P.box_stats(stored_rides(spark, sf).where(F.col("co2_kg").isNotNull()), "co2_kg", "vehicule_type")
     return S.rounded(boxes, 4, "q1 median q3 whisker_low whisker_high")
 
 
@@ -239,7 +245,7 @@ CORRELATED = """(SELECT l_quantity, l_extendedprice, l_discount, l_tax,
 
 def corr_sql(columns: list[str]) -> str:
     def one(a: str, b: str) -> str:
-        value = "CAST(NULL AS DOUBLE)" if "constant" in (a, b) else f'corr("{a}", "{b}")'
+        value = "max(CAST(NULL AS DOUBLE))" if "constant" in (a, b) else f'corr("{a}", "{b}")'
         return f"SELECT '{a}' AS a, '{b}' AS b, {value} AS corr FROM {CORRELATED}"
 
     return " UNION ALL ".join(one(a, b) for a in columns for b in columns)

@@ -18,7 +18,7 @@ from railmart.operators.cleaning import rail_routes, with_co2, with_distance
 from railmart.operators.nearest import nearest_airports, stations_of
 from railmart.plans.pipeline import final_routes
 from railmart.schemas import LEG_TYPES, typed
-from railmart.session import tune
+from railmart.session import cut_lineage, tune
 
 FEED = "XX_tables_1"
 BRAND_CODES = {
@@ -258,10 +258,16 @@ def train_legs(spark: SparkSession, sf: str) -> DataFrame:
     return legs(spark, sf).where(F.col("vehicule_type") != C.PLANE)
 
 
+def rail(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned rail routes; stations, corridors and the final relation all read them."""
+    return cut_lineage(rail_routes(train_legs(spark, sf)))
+
+
 def routes(spark: SparkSession, sf: str) -> DataFrame:
-    """The final relation: cleaned rail routes and the flights beside them."""
-    rail = rail_routes(train_legs(spark, sf))
-    return final_routes(rail, nearest_airports(stations_of(rail), airports(spark, sf)))
+    """The final relation: rail routes and the flights beside them."""
+    rail_part = rail(spark, sf)
+    links = cut_lineage(nearest_airports(stations_of(rail_part), airports(spark, sf)))
+    return cut_lineage(final_routes(rail_part, links))
 
 
 LEG_JOIN = """lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from railmart import constants as C
 from railmart.functions.carbon import co2_kg, is_plane
 from railmart.functions.geo import haversine
+from railmart.functions.once import with_once
 from railmart.functions.text import clean_station, is_numeric_name
 
 
@@ -40,8 +41,9 @@ def named_ends(df: DataFrame) -> DataFrame:
 def clean_legs(df: DataFrame, strict: bool = False) -> DataFrame:
     """All leg filters, then cleaned names; ends that became equal or blank are dropped as well."""
     kept = named_ends(known_origin(valid_ends(df), strict))
-    cleaned = kept.withColumns(
-        {"origin": clean_station(F.col("origin")), "destination": clean_station(F.col("destination"))}
+    cleaned = with_once(
+        kept,
+        {"origin": clean_station(F.col("origin")), "destination": clean_station(F.col("destination"))},
     )
     return valid_ends(cleaned)
 
@@ -58,13 +60,11 @@ def named_stop(name: Column, lat: Column) -> Column:
 
 def with_distance(df: DataFrame) -> DataFrame:
     """Straight-line km between both ends."""
-    return df.withColumn(
-        "distance_km",
-        haversine(
-            F.col("station_lat"), F.col("station_long"),
-            F.col("station_lat_dest"), F.col("station_long_dest"),
-        ),
+    km = haversine(
+        F.col("station_lat"), F.col("station_long"),
+        F.col("station_lat_dest"), F.col("station_long_dest"),
     )
+    return with_once(df, {"distance_km": km})
 
 
 def far_enough(df: DataFrame, min_km: float = C.MIN_TRAIN_KM) -> DataFrame:
@@ -82,13 +82,8 @@ def with_co2(df: DataFrame) -> DataFrame:
     enough for the JIT. NaN lies in no rectangle."""
     nowhere = F.lit(float("nan"))
     axes = {"_lat": F.coalesce("station_lat", nowhere), "_lon": F.coalesce("station_long", nowhere)}
-    return (
-        df.withColumns(axes)
-        .withColumn(
-            "co2_kg", co2_kg(F.col("distance_km"), F.col("vehicule_type"), F.col("_lat"), F.col("_lon"))
-        )
-        .drop(*axes)
-    )
+    kg = co2_kg(F.col("distance_km"), F.col("vehicule_type"), F.col("_lat"), F.col("_lon"))
+    return with_once(df.withColumns(axes), {"co2_kg": kg}).drop(*axes)
 
 
 def rail_routes(legs: DataFrame, strict: bool = False) -> DataFrame:

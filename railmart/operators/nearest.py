@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from railmart import constants as C
 from railmart.functions.geo import cell, degrees_of_latitude, haversine, within_band
+from railmart.functions.once import with_once
 from railmart.operators.keep import keep_first
 
 FULL_CIRCLE = 360
@@ -85,7 +86,7 @@ def nearby_pairs(
     pairs = located.join(spread, ["cell_y", "cell_x"]).drop("cell_y", "cell_x")
     if band is not None:
         pairs = pairs.where(within_band(*here, band))
-    return pairs.withColumn("station_airport_km", haversine(*here)).where(
+    return with_once(pairs, {"station_airport_km": haversine(*here)}).where(
         F.col("station_airport_km") <= radius_km
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from railmart import constants as C
 from railmart.functions.carbon import plane_co2
 from railmart.functions.geo import haversine
+from railmart.functions.once import with_once
 from railmart.schemas import ROUTE_TYPES, typed
 
 
@@ -36,7 +37,7 @@ def plane_corridors(
     )
     km = haversine(F.col("lat_origin"), F.col("lon_origin"), F.col("lat_dest"), F.col("lon_dest"))
     return (
-        linked.withColumn("distance_km", km)
+        with_once(linked, {"distance_km": km})
         .where(F.col("distance_km") >= min_km)
         .withColumn("co2_kg", plane_co2(F.col("distance_km")))
     )

@@ -237,7 +237,8 @@ def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
     quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75])
     low, high = _fences(F.col("quartiles"))
     fences = quartiles.withColumnRenamed("quantiles", "quartiles").select(low.alias("low"), high.alias("high"))
-    low, high = fences.select("low").scalar(), fences.select("high").scalar()
+    both = fences.select(F.struct("low", "high")).scalar()
+    low, high = both["low"], both["high"]
     x = F.col(column)
     return df.agg(F.count_if((x < low) | (x > high)).alias("outliers")).select(
         low.alias("low"), high.alias("high"), "outliers"
@@ -275,8 +276,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     Bins are numbered from 1 and all of them are there, empty or not.
     """
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    low = values.agg(F.min("x")).scalar()
-    high = values.agg(F.max("x")).scalar()
+    bounds = values.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
+    low, high = bounds["low"], bounds["high"]
     width = (high - low) / bins
     place = F.coalesce(F.try_divide((F.col("x") - low) * bins, high - low), F.lit(0.0))
     slotted = values.select(F.least(F.floor(place) + 1, F.lit(bins)).cast("int").alias("bin"))

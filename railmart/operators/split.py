@@ -83,13 +83,12 @@ def fit_scaler(train: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, columns: list[str]) -> DataFrame:
-    """(x - mean) / scale, with the parameters as one-row subqueries of the same plan."""
-
-    def parameter(name: str, column: str) -> Column:
-        return scaler.where(F.col("feature") == column).select(name).scalar()
-
+    """(x - mean) / scale; the parameters, one row per feature, are a subquery of the same plan."""
+    parameters = scaler.agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale"))))
+    ).scalar()
     return df.withColumns(
-        {c: (F.col(c) - parameter("mean", c)) / parameter("scale", c) for c in columns}
+        {c: (F.col(c) - parameters[c]["mean"]) / parameters[c]["scale"] for c in columns}
     )
 
 

@@ -1,8 +1,9 @@
-"""Session settings and reliable checkpoints."""
+"""Session settings and tables that cut lineage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,15 +40,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: the one named in `spark.checkpoint.dir`. Only a session
+    without that setting (a local test) gets a temporary one, kept for the session's life."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="railmart-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from there.
+    """Write `df` as a table in the shared folder and go on from its files.
 
-    The folder is the one named in `spark.checkpoint.dir`. Only a session without that setting
-    (a local test) gets a temporary one.
+    For a relation that several later steps read, or that must not be computed twice because its row
+    numbers belong to one sort. A lost executor then costs a read, not the whole history; the files
+    are columnar, so readers still take only the columns they need.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="railmart-checkpoint-"))
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/railmart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
