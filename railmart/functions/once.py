@@ -11,9 +11,10 @@ def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     A filter on a projected column is pushed below the projection with the whole expression copied
     into it, once per mention; for a distance, a CO2 value or a cleaned name that means computing it
-    several times and, for the long CASE ones, code beyond what a method may hold. A one-element
-    array that is inlined at once is a place no filter passes.
+    several times and, for the long CASE ones, code beyond what a method may hold. The projection
+    computes the columns, and a one-element array that is inlined right behind it is a place no
+    filter passes.
     """
+    computed = df.withColumns(columns)
     kept = [c for c in df.columns if c not in columns]
-    values = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*kept, F.inline(F.array(values)))
+    return computed.select(*kept, F.inline(F.array(F.struct(*columns))))

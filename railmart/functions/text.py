@@ -16,13 +16,20 @@ def blank_to_null(text: Column) -> Column:
 
 
 def clean_station(name: Column) -> Column:
-    """Drop one trailing '(XX)' or '[XX]' code and squeeze white space."""
-    without_code = F.regexp_replace(name, r"\s*[(\[][A-Z0-9]{2,5}[)\]]\s*$", "")
-    return F.trim(F.regexp_replace(without_code, r"\s+", " "))
+    """Drop one trailing '(XX)' or '[XX]' code and squeeze white space.
+
+    Most names have neither, so the patterns are made to fail early on those: the code is only
+    looked for behind a closing bracket, and single spaces are left as they are.
+    """
+    without_code = F.when(
+        name.rlike(r"[)\]]\s*$"), F.regexp_replace(name, r"\s*[(\[][A-Z0-9]{2,5}[)\]]\s*$", "")
+    ).otherwise(name)
+    return F.trim(F.regexp_replace(without_code, r"\s{2,}|[\t\n\x0B\f\r]", " "))
 
 
 def is_numeric_name(name: Column) -> Column:
-    return name.rlike(r"^\d+$")
+    """Digits only; the first character is looked at before the pattern is."""
+    return F.substring(name, 1, 1).between("0", "9") & name.rlike(r"^\d+$")
 
 
 @lru_cache
