@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SEARCH_STEPS = (64, 32, 16, 8, 4, 2, 1)  # halving search over at most 127 cuts
 CUTS = 128
 
 
@@ -25,9 +26,11 @@ def exact_quantiles(
             F.percentile_approx("x", [i / CUTS for i in range(1, CUTS)], 10_000)
         ).alias("cuts")
     )
-    bucketed = _with_groups(counted, cuts, by).select(
-        *by, "x", "n", F.size(F.filter("cuts", lambda c: c < F.col("x"))).alias("bucket")
-    )
+    bucketed = _with_groups(counted, cuts, by).withColumn("bucket", F.lit(0))
+    for step in SEARCH_STEPS:  # bucket = number of cuts below x
+        below = F.get("cuts", F.col("bucket") + (step - 1)) < F.col("x")
+        bucketed = bucketed.withColumn("bucket", F.col("bucket") + F.when(below, step).otherwise(0))
+    bucketed = bucketed.select(*by, "x", "n", "bucket")
     group = Window.partitionBy(*by)
     earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = bucketed.groupBy(*by, "bucket").agg(F.sum("n").alias("size"))
