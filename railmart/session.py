@@ -41,10 +41,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one named in `spark.checkpoint.dir`. Only a session
-    without that setting (a local test) gets a temporary one, kept for the session's life."""
+    """Folder every executor can reach: the one named in `spark.checkpoint.dir`. Only a local session
+    without that setting (a test) gets a temporary one, kept for the session's life."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="railmart-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
