@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from railmart.llm import bpe
+from railmart.llm import bpe, exact
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,7 +17,25 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf, "documents"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the copy that stays for its text, by text without regard to the case of A-Z."""
+    return exact.dedup(table(spark, sf, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("text_digest").alias("text_sha256")
+    )
+
+
 QUERIES = {
+    "op7_exact_dedup": op7_exact_dedup,
     "op9_bpe": op9_bpe,
 }
-SQL: dict[str, str] = {}
+
+SQL: dict[str, str] = {
+    "op7_exact_dedup": """
+        WITH t AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
+            FROM documents
+        ), g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256
+        FROM t JOIN g USING (x)
+    """,
+}
