@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, exact
+from railmart.llm import bpe, exact, ngram_join
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,7 +24,13 @@ def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the size of its shingle set and the smallest id it reaches by links."""
+    return ngram_join.link(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_bpe": op9_bpe,
 }
