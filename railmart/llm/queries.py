@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, exact, ngram_join
+from railmart.llm import bpe, exact, ngram_join, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,7 +29,16 @@ def op3_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.link(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
 
 
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's toxicity, learned from the labelled rows outside the held-out quarter."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf, "labels").where(~toxicity.held_out()))
+    held = docs.withColumn("held_out", toxicity.held_out())
+    return toxicity.score(held, model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_bpe": op9_bpe,
