@@ -165,3 +165,22 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+def add_blobs(blobs: DataFrame) -> DataFrame:
+    """(block int, blob binary): float64 arrays of one length per block, summed per block.
+
+    First in any order over all partitions, then by block, so the last round adds as many arrays as there are partitions.
+    """
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                values = np.frombuffer(blob)
+                sums[block] = sums[block] + values if block in sums else values
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "blob"]
+        )
+
+    kind = "block int, blob binary"
+    return blobs.repartition(partitions(blobs.sparkSession)).mapInArrow(add, kind).repartition("block").mapInArrow(add, kind)

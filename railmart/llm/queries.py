@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, exact, ngram_join, toxicity
+from railmart.llm import bpe, exact, ngram_join, quality, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's quality, learned from the labelled rows outside the held-out fifth."""
+    held_out = toxicity.held_out(parts=5, part=0)
+    stats = quality.described(table(spark, sf, "documents"), "doc_id", "text")
+    model = quality.train(stats, table(spark, sf, "labels").where(~held_out))
+    return quality.score(stats, model).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Token counts and digests of every document's ids and of the text decoded from them."""
     return bpe.round_trip(table(spark, sf, "documents"))
@@ -41,6 +49,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op7_exact_dedup": op7_exact_dedup,
+    "op5_quality": op5_quality,
     "op9_bpe": op9_bpe,
 }
 

@@ -2,11 +2,11 @@
 
 A text's words (runs of letters, A-Z lower-cased) are read in windows of WINDOW words, each half over the next; every
 window of the whole text is scored and the highest counts. A word enters with word inputs (a learned weight from a hashed
-table and two fixed random ones) and character inputs (largest and mean learned weight of its four-letter pieces, its
-length). Both directions' states are pooled by learned attention, and a logistic layer follows. Training is in numpy: weights of the tables are
-smoothed log odds of labelled texts, the network learns by back propagation through time, for a
-toxic text on its most suspicious window, for a clean one on its most suspicious and on random ones; a logistic
-curve then turns a text's highest window into a probability at the base rate of all training labels.
+table and a fixed random one) and character inputs (largest and mean learned weight of its pieces of four and of seven
+letters, its length). Both directions' states are pooled by learned attention, and a logistic layer follows. Training
+is in numpy: weights of the tables are smoothed log odds of labelled texts; the network learns by back propagation
+through time, for a toxic text on its most suspicious window, for a clean one on its most suspicious and on random
+ones; a logistic curve then turns a text's highest window into a probability at the base rate of all training labels.
 
 Learning uses at most `toxic_rows` and `clean_rows` labelled texts, the smallest by hash of their id, of at most
 `longest` characters; that bounds what the driver holds. Counting labels covers all rows. Scoring covers all.
@@ -28,9 +28,10 @@ from railmart.llm.bpe import schema_with, with_columns
 from railmart.llm.common import LOWER, STEP, Spans, mix, runs, text_slices
 
 WINDOW, STRIDE = 16, 8
-HIDDEN, INPUTS = 6, 6
+PIECES = (4, 7)
+HIDDEN, INPUTS = 6, 3 + 2 * len(PIECES)
 TABLE = 1 << 16
-SMOOTH = 5.0
+SMOOTH = 3.0
 LETTER = np.zeros(256, bool)
 LETTER[97:123] = True
 LETTER[128:] = True
@@ -47,14 +48,19 @@ def word_ids(data: np.ndarray, offsets: np.ndarray):
     return data, hashes, starts[first], ends[first], place.reshape(-1), at
 
 
-def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Table places of the four-letter pieces of words (with one mark before and after), and the words' offsets into them."""
-    code = np.concatenate([[0], np.where(LETTER[data], data, 0), [0, 0]]).astype(np.uint64)
+def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Table places of the words' pieces of `size` letters (with one mark before and after), and the words' offsets into them.
+
+    The last pieces of a word are shorter, so every letter begins one.
+    """
+    code = np.concatenate([[0], np.where(LETTER[data], data, 0), np.zeros(size, int)]).astype(np.uint64)
     lengths = ends - starts
     at = np.concatenate([[0], np.cumsum(lengths)])
     i = np.repeat(starts - at[:-1], lengths) + np.arange(at[-1])
-    key = code[i] << np.uint64(24) | code[i + 1] << np.uint64(16) | code[i + 2] << np.uint64(8) | code[i + 3]
-    key = np.where(code[i + 2] == 0, key & np.uint64(0xFFFF0000), key)  # a piece ends with its word
+    key, inside = code[i], np.ones(len(i), bool)
+    for j in range(1, size):
+        inside &= code[i + j] != 0
+        key = key << np.uint64(8) | np.where(inside, code[i + j], 0)
     return (mix(key + STEP) % np.uint64(TABLE)).astype(np.int64), at
 
 
@@ -62,15 +68,14 @@ def features(model: dict, data: np.ndarray, hashes: np.ndarray, starts: np.ndarr
     """Inputs of distinct words; the last row stands for no word."""
     out = np.zeros((len(hashes) + 1, INPUTS), np.float32)
     if len(hashes):
-        found, at = pieces(data, starts, ends)
-        weight = model["piece"][found]
         out[:-1, 0] = model["word"][(hashes % np.uint64(TABLE)).astype(np.int64)]
-        out[:-1, 1] = np.maximum.reduceat(weight, at[:-1])
-        out[:-1, 2] = np.add.reduceat(weight, at[:-1]) / (ends - starts)
-        out[:-1, 3] = np.minimum(ends - starts, 32) / 16
-        noise = mix(hashes)
-        out[:-1, 4] = (noise & np.uint64(0xFFFF)).astype(np.float32) / 65536 - 0.5
-        out[:-1, 5] = (noise >> np.uint64(48)).astype(np.float32) / 65536 - 0.5
+        for column, size in enumerate(PIECES, 1):
+            found, at = pieces(data, starts, ends, size)
+            weight = model[f"piece{size}"][found]
+            out[:-1, column] = np.maximum.reduceat(weight, at[:-1])
+            out[:-1, column + len(PIECES)] = np.add.reduceat(weight, at[:-1]) / (ends - starts)
+        out[:-1, -2] = np.minimum(ends - starts, 32) / 16
+        out[:-1, -1] = (mix(hashes) & np.uint64(0xFFFF)).astype(np.float32) / 65536 - 0.5
     return out
 
 
@@ -170,25 +175,24 @@ def fit(texts: list[str | None], labels: np.ndarray, base: float, rounds: int =
     row = np.repeat(np.arange(len(texts)), np.diff(at))
 
     def log_odds(bucket: np.ndarray, of_row: np.ndarray) -> np.ndarray:
-        """Smoothed log odds of the texts that hold a table place."""
+        """Log of the toxic texts that hold a table place against as many as chance would give, smoothed."""
         seen = np.unique(of_row * TABLE + bucket)
         toxic = labels[seen // TABLE]
         a, b = (np.bincount(seen % TABLE, w, TABLE) for w in (toxic, 1 - toxic))
         share = labels.sum() / (len(labels) - labels.sum())
-        return np.clip(np.log((a + SMOOTH * share) / (b + SMOOTH) / share), -4, 4).astype(np.float32)
-
-    found, piece_at = pieces(data, starts, ends)
-    count = np.diff(piece_at)[place]
-    total = np.concatenate([[0], np.cumsum(count)])
-    model = {
-        "word": log_odds((hashes % np.uint64(TABLE)).astype(np.int64)[place], row),
-        "piece": log_odds(found[np.repeat(piece_at[:-1][place] - total[:-1], count) + np.arange(total[-1])], np.repeat(row, count)),
-        "base": base,
-    }
+        return np.clip(np.log((a + SMOOTH) / (b * share + SMOOTH)), -4, 4).astype(np.float32)
+
+    model = {"word": log_odds((hashes % np.uint64(TABLE)).astype(np.int64)[place], row), "base": base}
+    for size in PIECES:
+        found, piece_at = pieces(data, starts, ends, size)
+        count = np.diff(piece_at)[place]
+        total = np.concatenate([[0], np.cumsum(count)])
+        each = np.repeat(piece_at[:-1][place] - total[:-1], count) + np.arange(total[-1])
+        model[f"piece{size}"] = log_odds(found[each], np.repeat(row, count))
     inputs = features(model, data, hashes, starts, ends)
     index, first = windows(place, at, len(hashes))
     of_window = np.repeat(np.arange(len(texts)), np.diff(first))
-    suspicion = (inputs[:, 0] + inputs[:, 1])[index].max(1)
+    suspicion = inputs[:, :1 + len(PIECES)].sum(1)[index].max(1)
 
     def highest(score: np.ndarray) -> np.ndarray:
         order = np.lexsort((score, of_window))
