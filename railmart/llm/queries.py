@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, exact, ngram_join, quality, toxicity
+from railmart.llm import bpe, exact, ngram_join, phrases, quality, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_phrase_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and how near it is to that and to the next document."""
+    return phrases.neighbours(table(spark, sf, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's quality, learned from the labelled rows outside the held-out fifth."""
     held_out = toxicity.held_out(parts=5, part=0)
@@ -49,6 +54,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op7_exact_dedup": op7_exact_dedup,
+    "op2_phrase_fingerprints": op2_phrase_fingerprints,
     "op5_quality": op5_quality,
     "op9_bpe": op9_bpe,
 }
