@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, exact, ngram_join, phrases, quality, toxicity
+from railmart.llm import bpe, chunks, exact, ngram_join, phrases, quality, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,6 +17,13 @@ def op2_phrase_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.neighbours(table(spark, sf, "documents"))
 
 
+def op6_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the chunks it shares and loses, and the digest of the text that is left."""
+    return chunks.dedup(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_shared", "n_repeated", "n_removed", "first_id", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's quality, learned from the labelled rows outside the held-out fifth."""
     held_out = toxicity.held_out(parts=5, part=0)
@@ -56,6 +63,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op2_phrase_fingerprints": op2_phrase_fingerprints,
     "op5_quality": op5_quality,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op9_bpe": op9_bpe,
 }
 
