@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, chunks, exact, ngram_join, phrases, quality, toxicity
+from railmart.llm import bpe, chunks, exact, mixing, ngram_join, phrases, quality, toxicity
+
+REPEATS = 1.25  # passes over any source that the mix allows
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,6 +34,11 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(stats, model).withColumn("held_out", held_out).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """What is read of every source, when none may be read more than REPEATS times for as many tokens as there are."""
+    return mixing.draw(table(spark, sf, "documents"), repeats=REPEATS)
+
+
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Token counts and digests of every document's ids and of the text decoded from them."""
     return bpe.round_trip(table(spark, sf, "documents"))
@@ -64,10 +71,57 @@ QUERIES = {
     "op2_phrase_fingerprints": op2_phrase_fingerprints,
     "op5_quality": op5_quality,
     "op6_chunk_dedup": op6_chunk_dedup,
+    "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
 }
 
 SQL: dict[str, str] = {
+    "op8_mixing": f"""
+        WITH RECURSIVE docs AS MATERIALIZED (
+            SELECT doc_id, min(coalesce(source, '')) AS source,
+                   sum(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')))::BIGINT AS tokens
+            FROM documents GROUP BY doc_id
+        ), sources AS MATERIALIZED (
+            SELECT source, sum(tokens)::BIGINT AS total, sum(tokens) / (SELECT sum(tokens) FROM docs)::DOUBLE AS share
+            FROM docs GROUP BY source HAVING sum(tokens) > 0
+        ), bisected(i, low, high) AS (
+            SELECT 0, 0::DOUBLE, 1::DOUBLE
+            UNION ALL
+            SELECT i + 1, CASE WHEN fits THEN low ELSE middle END, CASE WHEN fits THEN middle ELSE high END
+            FROM (
+                SELECT i, low, high, (low + high) / 2 AS middle,
+                       (SELECT max(power(share, (low + high) / 2 - 1)) / sum(power(share, (low + high) / 2)) <= {REPEATS}
+                        FROM sources) AS fits
+                FROM bisected WHERE i < 50
+            )
+        ), alpha AS (SELECT high AS x FROM bisected WHERE i = 50),
+        plan AS MATERIALIZED (
+            SELECT *, quota // total AS epochs, quota % total AS rest FROM (
+                SELECT source, total, round((SELECT sum(tokens) FROM docs) * power(share, x) / norm)::BIGINT AS quota
+                FROM sources, alpha, (SELECT sum(power(share, x)) AS norm FROM sources, alpha)
+            )
+        ), placed AS MATERIALIZED (
+            SELECT doc_id, source, tokens,
+                   ('0x' || substr(md5('mix|' || doc_id), 1, 8))::BIGINT % (1 + total // 100000) AS block
+            FROM docs JOIN plan USING (source)
+        ), blocks AS (
+            SELECT source, block, epoch, CASE WHEN epoch < epochs THEN NULL ELSE rest END AS rest,
+                   row_number() OVER w AS block_rank, (sum(amount) OVER w - amount)::BIGINT AS before
+            FROM (
+                SELECT *, md5('mix|' || source || '|' || epoch || '|' || block) AS turn FROM (
+                    SELECT *, unnest(range(CASE WHEN rest > 0 THEN epochs + 1 ELSE epochs END)) AS epoch
+                    FROM (SELECT source, block, sum(tokens)::BIGINT AS amount FROM placed GROUP BY ALL) JOIN plan USING (source)
+                )
+            )
+            WINDOW w AS (PARTITION BY source, epoch ORDER BY turn, block ROWS UNBOUNDED PRECEDING)
+        )
+        SELECT doc_id, source, n_tokens, epoch, block_rank, place FROM (
+            SELECT doc_id, source, tokens AS n_tokens, epoch, block_rank, rest, before,
+                   row_number() OVER w AS place, sum(tokens) OVER w AS so_far
+            FROM (SELECT *, md5('mix|' || epoch || '|' || doc_id) AS turn FROM placed JOIN blocks USING (source, block))
+            WINDOW w AS (PARTITION BY source, epoch, block ORDER BY turn, doc_id ROWS UNBOUNDED PRECEDING)
+        ) WHERE rest IS NULL OR before + so_far <= rest
+    """,
     "op7_exact_dedup": """
         WITH t AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
