@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, chunks, exact, mixing, ngram_join, phrases, quality, toxicity
+from railmart.llm import bpe, chunks, exact, lines, mixing, ngram_join, phrases, quality, toxicity
 
 REPEATS = 1.25  # passes over any source that the mix allows
 
@@ -26,6 +26,13 @@ def op6_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its lines, those dropped as near copies of an earlier line, and the digest of what is left."""
+    return lines.dedup(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's quality, learned from the labelled rows outside the held-out fifth."""
     held_out = toxicity.held_out(parts=5, part=0)
@@ -69,6 +76,7 @@ QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op7_exact_dedup": op7_exact_dedup,
     "op2_phrase_fingerprints": op2_phrase_fingerprints,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality": op5_quality,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op8_mixing": op8_mixing,
