@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, chunks, exact, lines, mixing, ngram_join, phrases, quality, toxicity
+from railmart.llm import bpe, chunks, exact, lines, mixing, ngram_join, phrases, quality, suffixes, toxicity
 
 REPEATS = 1.25  # passes over any source that the mix allows
 
@@ -71,6 +71,13 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(held, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the bytes that any repeated string of 400 bytes covers."""
+    return suffixes.dedup(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -81,6 +88,7 @@ QUERIES = {
     "op6_chunk_dedup": op6_chunk_dedup,
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {
