@@ -13,7 +13,8 @@ How every link is found without pairing whole groups:
 * Linked sets share one of their first |A| - ceil(t |A|) + 1 shingles in that order, so only these short lists are
   shuffled. Common passages come last in it and fall out.
 * First each member of a list is searched against the list's smallest member only. Then pairs of one list that are still in
-  different components are searched, so no link between components is missed and a group of N near copies costs N.
+  different components are searched if they share as many of their first shingles as a link needs, so no link between
+  components is missed and a group of N near copies costs N.
 * A search takes one document as query and merges the short inverted lists of its candidates by heap, then probes the
   long lists by binary search (DivideSkip), and keeps those that reach the overlap their sizes ask for.
 
@@ -278,13 +279,19 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
     several = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     open_lists = staged(placed.join(several.select("token"), "token", "left_semi"), "lists")
     drop_staged(lists)
+    # shingles beyond the shorter reaching first part can add no more than that document has left
     second = (
         open_lists.alias("p").join(
             open_lists.alias("q"),
-            F.expr("p.token = q.token AND p.component < q.component AND "
-                   + fits("p.n", "p.place", "q.n", "q.place", percent)),
+            F.expr("p.token = q.token AND p.component < q.component "
+                   f"AND 100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)"),
         )
-        .selectExpr("least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b").distinct()
+        .selectExpr(
+            "least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b", "p.n + q.n AS both",
+            f"ceil(greatest(p.n, q.n) * {percent} / 100) - 1 AS rest", fits("p.n", "p.place", "q.n", "q.place", percent) + " AS fits",
+        )
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.max("both").alias("both"), F.max("rest").alias("rest"), F.max("fits").alias("fits"))
+        .where(f"fits AND {100 + percent} * (common + rest) >= {percent} * both").select("a", "b")
         .join(first, ["a", "b"], "left_anti")
     )
     second = staged(second, "pairs")
