@@ -118,7 +118,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = L
     lost = staged(
         lost.groupBy("id").agg(  # the chunks of one text
             F.collect_set(F.when(F.col("gone"), F.struct("start", "size"))).alias("dropped"),
-            F.count("first_id").alias("n_shared"),
+            F.size(F.collect_set(F.when(F.col("first_id").isNotNull(), F.col("start")))).cast("long").alias("n_shared"),
             F.min(F.when(F.col("gone"), F.coalesce("first_id", "id"))).alias("first_id"),
         ), "chunks"
     )
