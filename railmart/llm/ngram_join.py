@@ -52,7 +52,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     first = np.searchsorted(row, np.arange(rows + 1))
     per_row = np.diff(first)
     total = np.zeros(len(words), np.uint64)
-    for j in range(size):  # a shingle that would cross into the next row is not used
+    for j in range(min(size, len(words))):  # a shingle that would cross into the next row is not used
         total[: len(words) - j] += mix(words[j:] + np.uint64((j + 1) * int(STEP) % (1 << 64)))
     full = np.arange(len(words)) + size <= first[1:][row] if len(words) else np.zeros(0, bool)
     out, out_row = mix(total[full]), row[full]

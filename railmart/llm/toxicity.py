@@ -228,8 +228,13 @@ def fit(texts: list[str | None], labels: np.ndarray, base: float, rounds: int =
     return model | {"slope": max(slope, 0.0), "shift": shift}
 
 
+def learned(model: dict) -> bool:
+    """False for a model of labels of one kind, which knows a base rate only."""
+    return "slope" in model
+
+
 def score_slice(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    if "slope" not in model:
+    if not learned(model):
         return np.full(len(offsets) - 1, model["base"])
     data, hashes, starts, ends, place, at = word_ids(data, offsets)
     inputs = features(model, data, hashes, starts, ends)

@@ -118,6 +118,7 @@ def test_ngram_join_finds_all_links(texts, percent):
 def test_ngram_join_of_nothing(texts):
     assert ngram_join.link(texts([])).count() == 0
     assert [r["component_id"] for r in ngram_join.link(texts([(4, None)])).collect()] == [4]
+    assert [r["component_id"] for r in ngram_join.link(texts([(4, "a b"), (3, "A b"), (3, "a")])).collect()] == [3, 3, 3]
 
 
 def test_t_occurrence_against_counting():
