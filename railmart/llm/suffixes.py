@@ -341,10 +341,8 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
             F.collect_list(F.struct((F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))).alias("spans")
         ), "spans"
     )
-    few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= 2 * BROADCAST_ROWS
     rest = df.drop("kept", "n_bytes", "n_removed", "n_spans")
-    spans = (F.broadcast(spans) if few else spans).withColumnRenamed("id", "_id")
-    joined = rest.join(spans, F.col(key) == F.col("_id"), "left").drop("_id")
+    joined = rest.join(spans.withColumnRenamed("id", "_id"), F.col(key) == F.col("_id"), "left").drop("_id")
 
     def remove(batches):
         for batch, data, offsets in text_slices(batches, text):
