@@ -104,7 +104,6 @@ GAZETTEER_COUNTRIES = [
     "FR", "DE", "CH", "AT", "BE", "NL", "ES", "IT", "PT", "GB", "IE", "SE", "NO", "DK", "FI", "PL",
     "CZ", "SK", "HU", "RO", "BG", "HR", "SI", "RS", "BA", "ME", "GR", "LU", "LV", "LT", "EE", "TR",
 ]
-MAX_FEEDS = 300
 
 # source column -> our column
 COLUMN_NAMES = {

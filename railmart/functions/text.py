@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from railmart import constants as C
 
 
+# outer white space, as Unicode and the separators of ASCII have it; names without any are not looked at twice
+WHITE_ENDS = r"^[\p{IsWhite_Space}\x1c-\x1f]+|[\p{IsWhite_Space}\x1c-\x1f]+$"
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 
@@ -32,34 +36,66 @@ def is_numeric_name(name: Column) -> Column:
     return F.substring(name, 1, 1).between("0", "9") & name.rlike(r"^\d+$")
 
 
+def _stripped(char: str) -> str:
+    """Full decomposition without non-spacing marks."""
+    return "".join(c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn")
+
+
 @lru_cache
-def _fold_table() -> tuple[str, str]:
-    """(from, to) for translate: accented letters to their base letter, combining marks to nothing.
+def _fold_table() -> tuple[str, str, dict[str, str]]:
+    """(from, to) for translate: accented letters to their base letter, combining marks to nothing; and
+    the few characters that decompose to several, which translate cannot say.
 
-    Built by rule from the Unicode decompositions of the two-byte plane plus the Latin additions, so
-    the fold equals a full decomposition followed by dropping every non-spacing mark.
+    Built by rule from all Unicode decompositions, Hangul syllables aside, which follow arithmetic.
     """
-    letters, bases, marks = [], [], []
-    for point in [*range(0x80, 0x590), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x2000),
-                  *range(0x20D0, 0x2100), *range(0xFE20, 0xFE30)]:
+    letters, bases, marks, longer = [], [], [], {}
+    for point in [*range(0x80, HANGUL[0]), *range(HANGUL[1] + 1, 0xD800), *range(0xE000, 0x110000)]:
         char = chr(point)
-        if unicodedata.category(char) == "Mn":
+        base = _stripped(char)
+        if unicodedata.category(char) == "Mn" and not base:
             marks.append(char)
-            continue
-        base = "".join(
-            c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"
-        )
-        if base != char and len(base) == 1:
+        elif len(base) == 1 and base != char:
             letters.append(char)
             bases.append(base)
-    return "".join(letters + marks), "".join(bases)
+        elif len(base) > 1:
+            longer[char] = base
+    return "".join(letters + marks), "".join(bases), longer
+
+
+# Hangul syllables: 19 leading consonants times 21 vowels times 28 endings, one of them empty
+HANGUL = (0xAC00, 0xD7A3)
+LEADS, VOWELS, ENDS = (
+    "".join(chr(first + i) for i in range(n)) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))
+)
+
+
+def _letters_of_syllables(text: Column) -> Column:
+    def letters(char: Column) -> Column:
+        place = F.ascii(char) - HANGUL[0]
+        end = place % 28
+        return F.when(
+            char.between(chr(HANGUL[0]), chr(HANGUL[1])),
+            F.concat(
+                F.substr(F.lit(LEADS), F.floor(place / 588).cast("int") + 1, F.lit(1)),
+                F.substr(F.lit(VOWELS), F.floor(place % 588 / 28).cast("int") + 1, F.lit(1)),
+                F.when(end == 0, F.lit("")).otherwise(F.substr(F.lit(ENDS), end, F.lit(1))),
+            ),
+        ).otherwise(char)
+
+    return F.array_join(F.transform(F.split(text, ""), letters), "")
 
 
 def fold_name(name: Column) -> Column:
-    """Upper-case key without accents; '-' and '_' are spaces; NULL becomes the empty text."""
-    source, target = _fold_table()
-    folded = F.upper(F.translate(F.coalesce(name, F.lit("")), source, target))
-    return F.trim(F.translate(folded, "-_", "  "))
+    """Upper-case key without accents; '-' and '_' are spaces; outer white space goes; NULL becomes the empty text."""
+    source, target, longer = _fold_table()
+    text = F.coalesce(name, F.lit(""))
+    whole = text
+    for char, base in longer.items():
+        whole = F.replace(whole, F.lit(char), F.lit(base))
+    text = F.when(text.rlike(f"[{''.join(longer)}]"), whole).otherwise(text)
+    text = F.when(text.rlike(f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}]"), _letters_of_syllables(text)).otherwise(text)
+    folded = F.translate(F.upper(F.translate(text, source, target)), "-_", "  ")
+    return F.regexp_replace(folded, WHITE_ENDS, "")
 
 
 def strip_name_prefix(folded: Column) -> Column:
@@ -69,7 +105,7 @@ def strip_name_prefix(folded: Column) -> Column:
 
 def token_prefixes(folded: Column) -> Column:
     """All leading token runs, longest first: 'A B C' -> ['A B C', 'A B', 'A']."""
-    tokens = F.filter(F.split(folded, r"\s+"), lambda t: t != "")
+    tokens = F.filter(F.split(folded, r"[\p{IsWhite_Space}\x1c-\x1f]+"), lambda t: t != "")
     lengths = F.when(F.size(tokens) > 0, F.sequence(F.size(tokens), F.lit(1), F.lit(-1))).otherwise(
         F.array().cast("array<int>")
     )

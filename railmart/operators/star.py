@@ -187,7 +187,18 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def out_of_range(df: DataFrame) -> DataFrame:
+    """Rows with a number that its warehouse column cannot hold."""
+    unfit = F.lit(False)
+    for c, kind in WAREHOUSE_DECIMALS.items():
+        if c in df.columns:
+            unfit = unfit | (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) & F.col(c).try_cast(kind).isNull())
+    return df.where(unfit)
+
+
 def warehouse_types(df: DataFrame) -> DataFrame:
-    """Decimal columns as the warehouse stores them. Computation stays in double until here."""
+    """Decimal columns as the warehouse stores them. Computation stays in double until here.
+
+    A number too large for its column becomes NULL; a load refuses such rows (`out_of_range`) before."""
     fitting = {c: F.col(c).try_cast(t) for c, t in WAREHOUSE_DECIMALS.items() if c in df.columns}
     return df.withColumns(fitting)

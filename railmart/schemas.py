@@ -1,8 +1,7 @@
 """Column lists of the relations that move between stages."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LEG_TYPES = {
     "origin": "string",
@@ -69,9 +68,7 @@ GAZETTEER_FIELDS = {
     0: "geonameid", 1: "name", 2: "asciiname", 4: "latitude", 5: "longitude",
     8: "country_code", 14: "population",
 }
-GAZETTEER_RAW = T.StructType(
-    [T.StructField(GAZETTEER_FIELDS.get(i, f"_c{i}"), T.StringType()) for i in range(15)]
-)
+GAZETTEER_WIDTH = 15  # fields a line must have
 
 
 def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -93,7 +90,3 @@ def rename_existing(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Rename columns that exist, unless the new name is taken already."""
     fitting = {old: new for old, new in names.items() if old in df.columns and new not in df.columns}
     return df.withColumnsRenamed(fitting)
-
-
-def null_of(kind: str) -> Column:
-    return F.lit(None).cast(kind)

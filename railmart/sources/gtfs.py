@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart import constants as C
 from railmart.schemas import GTFS_TABLES
 from railmart.sources.files import folder_of, list_files, read_csv
 
@@ -20,10 +19,8 @@ def find_feeds(
     spark: SparkSession,
     root: str,
     countries: list[str] | None = None,
-    max_feeds: int | None = C.MAX_FEEDS,
 ) -> dict[str, dict[str, str]]:
-    """feed -> table -> path. Feeds are filtered by country, then capped in name order; a feed that
-    misses one of the four tables is left out."""
+    """feed -> table -> path. Feeds are filtered by country; one that misses a table is left out."""
     feeds: dict[str, dict[str, str]] = {}
     for path in list_files(spark, f"{root}/*", "*.txt"):
         feed, name = path.rsplit("/", 2)[-2:]
@@ -32,7 +29,7 @@ def find_feeds(
     if countries:
         names = [name for name in names if name[:2].upper() in countries]
     return {
-        name: feeds[name] for name in names[:max_feeds] if feeds[name].keys() >= GTFS_TABLES.keys()
+        name: feeds[name] for name in names if feeds[name].keys() >= GTFS_TABLES.keys()
     }
 
 
@@ -40,10 +37,9 @@ def read_feeds(
     spark: SparkSession,
     root: str,
     countries: list[str] | None = None,
-    max_feeds: int | None = C.MAX_FEEDS,
 ) -> dict[str, DataFrame] | None:
     """The four tables over all feeds, each with its `feed`; None when no feed is complete."""
-    feeds = find_feeds(spark, root, countries, max_feeds)
+    feeds = find_feeds(spark, root, countries)
     if not feeds:
         return None
     return {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from railmart import constants as C
 from railmart.functions.text import blank_to_null
-from railmart.schemas import GAZETTEER_RAW
+from railmart.schemas import GAZETTEER_FIELDS, GAZETTEER_WIDTH
 from railmart.sources.files import latest, list_files, read_csv, read_json_array
 
 COMMUNES_JSON = (
@@ -65,19 +65,8 @@ def read_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_gazetteer_dump(spark: SparkSession, path: str) -> DataFrame:
     """Headerless tab-separated dump: listed countries only, rows shorter than 15 fields dropped."""
-    raw = (
-        spark.read.schema(GAZETTEER_RAW.add("_corrupt_record", "string"))
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    long_enough = F.col("population").isNotNull()
-    return raw.where(long_enough & F.col("country_code").isin(C.GAZETTEER_COUNTRIES)).select(
-        "name",
-        "asciiname",
-        "country_code",
-        blank_to_null(F.col("population")).alias("population"),
-        "latitude",
-        "longitude",
+    fields = spark.read.text(path).select(F.split("value", "\t").alias("f")).where(F.size("f") >= GAZETTEER_WIDTH)
+    named = fields.select(*[blank_to_null(F.get("f", F.lit(i))).alias(name) for i, name in GAZETTEER_FIELDS.items()])
+    return named.where(F.col("country_code").isin(C.GAZETTEER_COUNTRIES)).select(
+        "name", "asciiname", "country_code", "population", "latitude", "longitude"
     )

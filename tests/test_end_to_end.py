@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,9 +30,9 @@ def tables(spark, landed, tmp_path_factory):
     )
 
 
-def test_feeds_are_filtered_then_capped(spark, landed):
+def test_feeds_are_filtered(spark, landed):
     assert list(find_feeds(spark, landed["gtfs"])) == ["DE_demo_2", "FR_demo_1"]
-    assert list(find_feeds(spark, landed["gtfs"], ["FR"], max_feeds=1)) == ["FR_demo_1"]
+    assert list(find_feeds(spark, landed["gtfs"], ["FR"])) == ["FR_demo_1"]
     assert parse_countries("FR, de") == parse_countries("['FR','DE']") == ["FR", "DE"]
     assert read_feeds(spark, landed["gtfs"], ["IT"]) is None
 
@@ -109,6 +111,53 @@ def test_load_reset_then_incremental(spark, tables, tmp_path):
     assert second["dim_route"] == 8 and second["fact_route_analysis"] == 8
 
 
+def test_a_load_that_breaks_off_leaves_the_old_star(spark, tables, tmp_path, monkeypatch):
+    root = str(tmp_path / "warehouse")
+    first = warehouse.load_star(spark, root, tables)
+    before = warehouse.current_version(spark, root)
+    written = warehouse.write_parquet
+
+    def break_off(df, path):
+        if path.endswith("dim_vehicle_type"):
+            raise RuntimeError("lost")
+        written(df, path)
+
+    monkeypatch.setattr(warehouse, "write_parquet", break_off)
+    with pytest.raises(RuntimeError):
+        warehouse.load_star(spark, root, tables)
+    monkeypatch.undo()
+    assert warehouse.current_version(spark, root) == before
+    assert {name: df.count() for name, df in warehouse.read_star(spark, root).items()} == first
+    assert sorted(p.name for p in (tmp_path / "warehouse").iterdir()) == sorted(["_published", before.rsplit("/", 1)[1]])
+
+
+def test_a_damaged_table_is_not_taken_for_absent(spark, tables, tmp_path):
+    root = str(tmp_path / "warehouse")
+    warehouse.load_star(spark, root, tables)
+    version = Path(warehouse.current_version(spark, root))
+    for part in (version / "dim_route").glob("*.parquet"):
+        part.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        warehouse.load_star(spark, root, tables, mode="incremental")
+    assert warehouse.current_version(spark, root) == str(version)
+
+
+def test_old_versions_go(spark, tables, tmp_path):
+    root = str(tmp_path / "warehouse")
+    for _ in range(3):
+        warehouse.load_star(spark, root, tables)
+    assert len([p for p in (tmp_path / "warehouse").iterdir() if p.name.startswith("v-")]) == 2
+
+
+def test_load_refuses_numbers_beyond_their_column(spark, tables, tmp_path):
+    root = str(tmp_path / "w")
+    large = dict(tables, fact=tables["fact"].withColumn("co2_train_kg", F.lit(1234567.5)))
+    with pytest.raises(warehouse.LoadError):
+        warehouse.load_star(spark, root, large)
+    with pytest.raises(warehouse.LoadError):
+        warehouse.read_star(spark, root)
+
+
 def test_load_refuses_duplicate_keys(spark, tables, tmp_path):
     broken = dict(tables, dim_route=tables["dim_route"].union(tables["dim_route"]))
     with pytest.raises(warehouse.LoadError):

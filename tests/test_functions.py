@@ -86,8 +86,8 @@ def test_fold_name(spark):
 def test_fold_name_equals_unicode_decomposition(spark):
     import unicodedata
 
-    points = [chr(p) for p in range(0x20, 0x590) if unicodedata.category(chr(p)) not in ("Cn", "Cc")]
-    words = ["x" + c + "y" for c in points]
+    points = [chr(p) for p in range(0x20, 0x110000) if unicodedata.category(chr(p)) not in ("Cn", "Cc", "Cs", "Co")]
+    words = ["x" + c + "y" for c in points] + ["\u2003 x\u3000", "\x1dx\n"]
 
     def plain(s):
         s = "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn")
@@ -96,7 +96,8 @@ def test_fold_name_equals_unicode_decomposition(spark):
     got = apply(spark, [(w,) for w in words], text.fold_name)
     differing = [w for w, g in zip(words, got) if g != plain(w)]
     # only letters whose upper-case form differs between the JVM's and Python's Unicode version
-    assert len(differing) <= 3, differing
+    odd = [w for w in differing if plain(w) == w.upper().replace("-", " ").strip() and len(w) == 3]
+    assert len(differing) == len(odd) <= 100, differing[:20]
 
 
 @pytest.mark.parametrize(

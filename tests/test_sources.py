@@ -59,8 +59,12 @@ def test_gazetteer_dump(spark, tmp_path):
         return "\t".join(fields[:n])
 
     path = tmp_path / "cities.txt"
-    path.write_text("\n".join([line('Pa"ris', "FR"), line("Tokyo", "JP"), line("Short", "FR", 14)]), encoding="utf-8")
-    assert rows(population.read_gazetteer_dump(spark, str(path))) == [('Pa"ris', 'pa"ris', "FR", "1000", "48.1", "2.2")]
+    path.write_text("\n".join([line('Pa"ris', "FR"), line("Tokyo", "JP"), line("Short", "FR", 14),
+                               line("Empty", "FR", 15).replace("1000", "")]), encoding="utf-8")
+    for _ in range(2):  # a second call reads the same
+        assert rows(population.read_gazetteer_dump(spark, str(path))) == [
+            ("Empty", "empty", "FR", None, "48.1", "2.2"), ('Pa"ris', 'pa"ris', "FR", "1000", "48.1", "2.2")
+        ]
 
 
 def test_catalogue(spark, tmp_path):
