@@ -79,11 +79,12 @@ def far_enough(df: DataFrame, min_km: float = C.MIN_TRAIN_KM) -> DataFrame:
 def with_co2(df: DataFrame) -> DataFrame:
     """CO2 per ride. The walk through the country rectangles reads both axes over a hundred times;
     as columns that cannot be NULL they need no NULL checks, which keeps the compiled method small
-    enough for the JIT. NaN lies in no rectangle."""
+    enough for the JIT. NaN lies in no rectangle. A plain projection: who does not read the value does not
+    compute it."""
     nowhere = F.lit(float("nan"))
     axes = {"_lat": F.coalesce("station_lat", nowhere), "_lon": F.coalesce("station_long", nowhere)}
     kg = co2_kg(F.col("distance_km"), F.col("vehicule_type"), F.col("_lat"), F.col("_lon"))
-    return with_once(df.withColumns(axes), {"co2_kg": kg}).drop(*axes)
+    return df.withColumns(axes).withColumn("co2_kg", kg).drop(*axes)
 
 
 def rail_routes(legs: DataFrame, strict: bool = False) -> DataFrame:

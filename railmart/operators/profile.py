@@ -55,6 +55,13 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return counted.unpivot([], wanted, "column", "nulls").orderBy(F.desc("nulls"), "column")
 
 
+def null_total(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row: number of rows, and of nulls over all columns."""
+    wanted = columns or df.columns
+    nulls = sum((F.col(c).isNull().cast("long") for c in wanted), F.lit(0).cast("long"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls"))
+
+
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, type, filled, nulls, null_pct)."""
     wanted = columns or df.columns

@@ -72,6 +72,7 @@ def dashboard(
         "savings_mean": P.savings_mean(top),
         "modes": P.frequencies(rows, "mode"),
         "nulls": P.null_counts(rows),
+        "quality": P.null_total(rows),
         "duplicates": P.duplicate_rows(rows, VIEW_KEYS),
         "outliers": P.iqr_outliers(rows, "co2_kg"),
     }

@@ -28,15 +28,24 @@ def decode_cube(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
             lambda product, n: product * n,
         ),
     )
-    cells = df.withColumn("strides", strides).select(
-        *(keep or []), "id", "size", "strides", "dimension", F.explode("value").alias("flat", "value")
+
+    def by_position(dim: Column) -> Column:
+        """Codes of a dimension in order of their positions, once per cube."""
+        index = F.try_element_at(F.col("dimension"), dim)["category"]["index"]
+        return F.array_sort(F.transform(F.map_entries(index), lambda e: F.struct(e["value"].alias("at"), e["key"].alias("code"))))
+
+    cells = df.withColumns({"strides": strides, "codes_at": F.transform("id", by_position)}).select(
+        *(keep or []), "id", "size", "strides", "codes_at", F.explode("value").alias("flat", "value")
     )
 
-    def code(dim: Column, i: Column) -> Column:
+    def code(_: Column, i: Column) -> Column:
         position = F.floor(F.col("flat").cast("long") / F.get("strides", i)) % F.get("size", i)
-        index = F.try_element_at(F.col("dimension"), dim)["category"]["index"]
-        hits = F.filter(F.map_entries(index), lambda e: e["value"] == position)
-        return F.coalesce(F.get(hits, F.lit(0))["key"], position.cast("string"))
+        codes = F.get("codes_at", i)
+        there = F.get(codes, position.cast("int"))  # where positions run without gaps; else they are searched
+        found = F.when(there["at"] == position, there["code"]).otherwise(
+            F.get(F.filter(codes, lambda e: e["at"] == position), F.lit(0))["code"]
+        )
+        return F.coalesce(found, position.cast("string"))
 
     codes = F.map_from_arrays("id", F.transform("id", code))
     return cells.where(F.col("value").isNotNull()).select(

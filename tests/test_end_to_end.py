@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from railmart.operators import profile
 from railmart.operators.nearest import nearest_airports, stations_of
 from railmart.plans import modelling, pipeline, queries, report, warehouse
 from railmart.sources.airports import read_airports
@@ -198,6 +199,11 @@ def test_report_tables_have_rows(tables, view):
         if name not in ("train_types", "nulls"):
             assert not df.isEmpty(), name
     assert report.report(tables["routes_final"])["coverage"].first().stations == 6
+    quality = report.dashboard(view)["quality"].first()
+    total = sum(r.nulls for r in report.dashboard(view)["nulls"].collect())
+    assert (quality.rows, quality.nulls) == (view.count(), total)
+    long = profile.sections({"quality": report.dashboard(view)["quality"], "kpis": report.dashboard(view)["kpis"]})
+    assert {r.section for r in long.collect()} == {"quality", "kpis"}
 
 
 def test_model_tables(tables, tmp_path, spark):

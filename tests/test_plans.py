@@ -28,3 +28,9 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_entry_runs(spark):
     df = entry_points.entry(spark)
     assert df.columns[:3] == ["origin", "destination", "vehicule_type"] and df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["overview", "keep_one_dedup"])
+def test_co2_is_computed_only_where_it_is_read(spark, name):
+    plan = entry_points.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "co2_kg" not in plan
