@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +10,8 @@ from railmart.functions.text import blank_to_null
 BOM = "﻿"
 
 
-def list_files(spark: SparkSession, pattern: str, name_glob: str = "*") -> list[str]:
-    """Paths behind a glob; a listing only, no content is read."""
+def list_files(spark: SparkSession, pattern: str | list[str], name_glob: str = "*") -> list[str]:
+    """Paths behind a glob or folders; a listing only, no content is read."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", name_glob)
@@ -34,6 +31,15 @@ def folder_of(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, header): the first line of every file, found by one job for all of them."""
+    lines = (
+        spark.read.text(paths).where("_metadata.file_block_start = 0")
+        .select(source_path().alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+    )
+    return lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
@@ -44,38 +50,42 @@ def read_csv(
     """Headed CSV files as text columns, blank text as NULL.
 
     A CSV scan takes the places of its columns from one header, while files of one kind may order
-    or omit columns differently. Only the first line of each file is looked at here; files that
-    share a header become one scan, and the scans are united by name. A column of `columns` that a
-    file does not have is NULL.
+    or omit columns differently. So all files are one scan of numbered fields, and where their headers
+    differ each row finds its fields through its file's header, joined on the path. A column of `columns`
+    that a file does not have is NULL. Jobs and scans do not grow with the number of files.
     """
-    by_header = defaultdict(list)
-    for path in [paths] if isinstance(paths, str) else paths:
-        header = spark.read.option("header", True).option("sep", sep).csv(path).columns
-        by_header[tuple(header)].append(path)
-    wanted = columns or list(
-        dict.fromkeys(_bare(name) for header in by_header for name in header)
+    paths = [paths] if isinstance(paths, str) else paths
+    names = F.transform(
+        F.split("header", f"\\{sep}"), lambda n: F.btrim(F.btrim(F.replace(n, F.lit(BOM), F.lit(""))), F.lit('"'))
+    )
+    headers = first_lines(spark, paths).select("path", names.alias("names")).cache()
+    seen = headers.agg(
+        F.count_distinct("names").alias("kinds"), F.max(F.size("names")).alias("width"), F.max("names").alias("names")
+    ).first()
+    wanted = columns or [
+        r["name"] for r in headers.select(F.posexplode("names").alias("at", "name"))
+        .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+    ]
+    fields = [f"c{i}" for i in range(seen["width"] or 1)]
+    scan = (
+        spark.read.schema(", ".join(f"`{f}` string" for f in fields))
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("sep", sep)
+        .csv(paths)
     )
-    scans = []
-    for header, group in by_header.items():
-        fields = ", ".join(f"`c{i}` string" for i in range(len(header)))
-        place = {_bare(name): f"c{i}" for i, name in reversed(list(enumerate(header)))}
-        scan = (
-            spark.read.schema(fields)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("sep", sep)
-            .csv(group)
-        )
-        projected = [
-            (blank_to_null(F.col(place[c])) if c in place else F.lit(None).cast("string")).alias(c)
-            for c in wanted
-        ]
-        scans.append(scan.select(*projected, *([source_path().alias("path")] if with_path else [])))
-    return reduce(DataFrame.unionByName, scans)
-
-
-def _bare(name: str) -> str:
-    return name.replace(BOM, "").strip().strip('"')
+    path = [source_path().alias("path")] if with_path or seen["kinds"] > 1 else []
+    if seen["kinds"] <= 1:
+        place = {name: f"c{i}" for i, name in reversed(list(enumerate(seen["names"] or [])))}
+        headers.unpersist()
+        return scan.select(*[
+            (blank_to_null(F.col(place[c])) if c in place else F.lit(None).cast("string")).alias(c) for c in wanted
+        ], *path)
+    places = headers.select("path", *[F.array_position("names", c).cast("int").alias(f"p{i}") for i, c in enumerate(wanted)])
+    placed = scan.select(F.array(*fields).alias("row"), *path).join(places, "path")
+    return placed.select(*[
+        blank_to_null(F.get("row", F.col(f"p{i}") - 1)).alias(c) for i, c in enumerate(wanted)
+    ], *(["path"] if with_path else []))
 
 
 def latest(paths: list[str]) -> str:

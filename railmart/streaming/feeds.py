@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from railmart.operators.timetable import timetable_legs
 from railmart.schemas import GTFS_TABLES
-from railmart.sources.files import folder_of, read_csv
+from railmart.sources.files import folder_of, list_files, read_csv
 
 
 def load_new_feeds(
@@ -22,19 +22,27 @@ def load_new_feeds(
     root: str,
     progress: str,
     load: Callable[[DataFrame], None],
+    feeds_per_batch: int = 500,
 ) -> None:
     """Run `load` on the legs of the feeds that landed since the last call with this `progress`
-    folder. A batch that fails is delivered again, so `load` has to be an upsert."""
+    folder. A batch that fails is delivered again, so `load` has to be an upsert. A folder that misses one of
+    the four tables is left out, as in the batch job. New feeds come in batches of `feeds_per_batch`, all of them."""
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "stop_times.txt")
+        .option("maxFilesPerTrigger", feeds_per_batch)
         .load(f"{root}/*")
         .select("path")
     )
 
     def on_batch(batch: DataFrame, _: int) -> None:
-        folders = [row.path.rsplit("/", 1)[0] for row in batch.collect()]  # one short row per feed
+        folders = [row.path.rsplit("/", 1)[0] for row in batch.collect()]  # at most feeds_per_batch short rows
+        there: dict[str, set[str]] = {}
+        for path in list_files(spark, folders, "*.txt") if folders else ():
+            feed, name = path.rsplit("/", 2)[-2:]
+            there.setdefault(feed, set()).add(name.removesuffix(".txt"))
+        folders = [f for f in folders if there.get(f.rsplit("/", 1)[-1], set()) >= GTFS_TABLES.keys()]
         if not folders:
             return
         tables = {

@@ -27,6 +27,20 @@ def test_csv_is_text_with_blank_as_null(spark, tmp_path):
     assert rows(df) == [("1", "a,b", None), ("2", None, None), ("3", None, None), ("4", "q", None)]
 
 
+def test_many_headers_are_one_scan(spark, tmp_path):
+    want = []
+    for k in range(12):
+        names = ["x", "y", "z"][k % 3:] + [f"own{k}"]
+        (tmp_path / f"f{k:02d}.csv").write_text(
+            "\ufeff" * (k % 2) + ",".join(f'"{n}"' for n in names) + "\n" + ",".join(f"{n}{k}" for n in names) + "\n\n", encoding="utf-8"
+        )
+        want.append((f"x{k}" if "x" in names else None, f"z{k}", f"f{k:02d}.csv"))
+    df = files.read_csv(spark, sorted(map(str, tmp_path.glob("*.csv"))), ["x", "z"], with_path=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert [(r.x, r.z, r.path.rsplit("/", 1)[-1]) for r in df.orderBy("path").collect()] == want
+
+
 def test_newest_airports(spark, landed):
     got = read_airports(spark, landed["airports"])
     assert sorted(r.iata_code for r in got.collect()) == ["BSL", "CDG", "CGN", "FRA", "LYS", "MRS", "ORY"]
@@ -146,6 +160,10 @@ def test_new_feeds_are_loaded_once(spark, tmp_path):
     mini.write_feed(root, "DE_demo_2", mini.DE)
     load_new_feeds(spark, str(root), str(tmp_path / "progress"), load)
     assert seen == [["FR_demo_1"], ["DE_demo_2"]]
+    (root / "IT_half").mkdir()  # a feed without its other tables is passed over
+    (root / "IT_half" / "stop_times.txt").write_text("trip_id,stop_id\n1,2\n", encoding="utf-8")
+    load_new_feeds(spark, str(root), str(tmp_path / "progress"), load)
+    assert len(seen) == 2
 
 
 def test_row_counts_come_with_the_job(spark):
