@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     without that setting (a test) gets a temporary one, kept for the session's life."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # one process; local-cluster has several
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="railmart-"))
         folder = spark.sparkContext.getCheckpointDir()
@@ -59,6 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     numbers belong to one sort. A lost executor then costs a read, not the whole history; the files
     are columnar, so readers still take only the columns they need.
     """
-    path = f"{shared_folder(df.sparkSession)}/railmart-{uuid.uuid4().hex}"
+    path = f"{_staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def _staging_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/railmart-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all tables this application has staged; for when the results that read them are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
