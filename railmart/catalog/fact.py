@@ -148,7 +148,7 @@ def hash_key_collisions(spark, sf):
     return key_collisions(names, "station_id", ["station_name"])
 
 
-def view(spark, sf):
+def view(spark, sf, limit=None):
     routes = S.routes(spark, sf)
     fact, route = cut_lineage(fact_corridors(routes)), cut_lineage(dim_route(routes))
     vehicle = dim_vehicle_type(routes)
@@ -157,7 +157,7 @@ def view(spark, sf):
         keys, ["origin", "destination"]
     ).join(vehicle.select("vehicle_type_id", F.col("label").alias("vehicule_type")), "vehicule_type")
     return queries.data_view(
-        keyed.select("route_id", "vehicle_type_id", "co2_train_kg", "co2_avion_kg"), route, vehicle
+        keyed.select("route_id", "vehicle_type_id", "co2_train_kg", "co2_avion_kg"), route, vehicle, limit
     )
 
 
@@ -179,6 +179,25 @@ def star_join(spark, sf):
         ), 4, "co2_mean")
 
 
+def data_view_limited(spark, sf):
+    """The view's own limit, by its four order columns."""
+    return S.rounded(view(spark, sf, limit=50), 4, "distance_km co2_kg")
+
+
+def star_search(spark, sf):
+    """Search over fact, routes and vehicles."""
+    return S.rounded(queries.search(view(spark, sf), "customer#0000001", "PPLIER#00000000", "nuit"), 4, "distance_km co2_kg")
+
+
+def star_compare(spark, sf):
+    """Day against night over fact, routes and vehicles."""
+    return queries.compare(view(spark, sf), "customer#00000", "supplier#00000")
+
+
+def star_top_routes(spark, sf):
+    return S.rounded(queries.top_routes(view(spark, sf)), 4, "avg_co2")
+
+
 def search_ilike(spark, sf):
     hits = queries.search(S.view(spark, sf), "customer#00000012", "PPLIER#00000000", "nuit")
     return S.rounded(hits, 4, "distance_km co2_kg")
@@ -274,6 +293,10 @@ QUERIES = {
     "data_view": data_view,
     "limited_view": limited_view,
     "star_join": star_join,
+    "data_view_limited": data_view_limited,
+    "star_search": star_search,
+    "star_compare": star_compare,
+    "star_top_routes": star_top_routes,
     "search_ilike": search_ilike,
     "compare_day_night": compare_day_night,
     "top_routes": top_routes,
@@ -352,6 +375,26 @@ SQL = {
     "star_join": S.sql(
         """SELECT vehicule_type, is_long_distance, count(*) AS n, avg(co2_kg) AS co2_mean FROM data_rows
         GROUP BY 1, 2""", 4, "co2_mean"),
+    "data_view_limited": S.sql(
+        "SELECT * FROM data_rows ORDER BY origine, destination, vehicule_type, co2_kg LIMIT 50", 4, "distance_km co2_kg"),
+    "star_search": S.sql(
+        f"""SELECT origine AS depart, destination AS arrivee, distance_km, vehicule_type, co2_kg FROM data_rows
+        WHERE {VIEW_HIT.format(o='customer#0000001', d='PPLIER#00000000')} AND vehicule_type ILIKE '%nuit%'""",
+        4, "distance_km co2_kg"),
+    "star_compare": S.sql(
+        f"""SELECT 'customer#00000' AS depart, 'supplier#00000' AS arrivee, *, CASE WHEN night_n = 0 THEN 'no_night_train'
+        WHEN gain_pct > 15 THEN 'night_train' WHEN gain_pct > 0 THEN 'slightly_night' WHEN gain_pct < -15 THEN 'day_train'
+        ELSE 'similar' END AS advice FROM (SELECT *, CASE WHEN night_n = 0 THEN 0
+          ELSE round((day_mean - night_mean) / day_mean * 100, 1) END AS gain_pct FROM (
+          SELECT round(avg(co2_kg) FILTER ({DAY}), 2) AS day_mean, count(*) FILTER ({DAY}) AS day_n,
+            round(min(co2_kg) FILTER ({DAY}), 2) AS day_min, round(max(co2_kg) FILTER ({DAY}), 2) AS day_max,
+            coalesce(round(avg(co2_kg) FILTER ({NIGHT}), 2), 0) AS night_mean, count(*) FILTER ({NIGHT}) AS night_n,
+            coalesce(round(min(co2_kg) FILTER ({NIGHT}), 2), 0) AS night_min,
+            coalesce(round(max(co2_kg) FILTER ({NIGHT}), 2), 0) AS night_max
+          FROM data_rows WHERE {VIEW_HIT.format(o='customer#00000', d='supplier#00000')} AND vehicule_type <> 'Avion'))"""),
+    "star_top_routes": S.sql(
+        """SELECT origine, destination, avg(co2_kg) AS avg_co2, count(*) AS n FROM data_rows GROUP BY 1, 2
+        ORDER BY avg_co2 DESC NULLS LAST, origine, destination LIMIT 10""", 4, "avg_co2"),
     "search_ilike": S.sql(
         f"""SELECT origine AS depart, destination AS arrivee, distance_km, vehicule_type, co2_kg FROM ride_view
         WHERE {VIEW_HIT.format(o='customer#00000012', d='PPLIER#00000000')} AND vehicule_type ILIKE '%nuit%'""",
