@@ -301,34 +301,20 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b, corr) for all ordered pairs from one aggregate; pairs of known values only.
 
-    Plain sums of the values above their column's minimum: they stay small, are exactly 0 for a
-    constant column, and their update code is short enough to be compiled for many pairs at once. A
-    column without spread has no correlation (NULL), also with itself.
+    Covariance and deviation are the built-in ones, which merge means and products of deviations, so far-off
+    values cost no digits. A column without spread has no correlation (NULL), also with itself.
     """
     pairs = [(c, c) for c in columns] + list(combinations(columns, 2))
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    least = values.agg(F.struct(*[F.min(c).alias(c) for c in columns])).scalar()
-    shifted = values.select(*[(F.col(c) - least[c]).alias(c) for c in columns])
 
-    def sums(i: int, a: str, b: str) -> list[Column]:
+    def correlation(a: str, b: str) -> Column:
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        terms = {"n": both.cast("double"), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
-        return [F.sum(term).alias(f"{name}{i}") for name, term in terms.items()]
-
-    row = shifted.agg(*[column for i, pair in enumerate(pairs) for column in sums(i, *pair)])
-
-    def spread(i: int, axis: str) -> Column:
-        whole = F.col(f"n{i}") * F.col(f"{axis}{axis}{i}")
-        rest = whole - F.col(f"{axis}{i}") * F.col(f"{axis}{i}")
-        return F.when(rest > whole * 1e-12, rest)  # below that it is rounding, not spread
-
-    def correlation(i: int) -> Column:
-        joint = F.col(f"n{i}") * F.col(f"xy{i}") - F.col(f"x{i}") * F.col(f"y{i}")
-        return joint / F.sqrt(spread(i, "x") * spread(i, "y"))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
+    row = values.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), correlation(i).alias("corr"))
+        F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)
         for x, y in dict.fromkeys([(a, b), (b, a)])
     ]

@@ -276,3 +276,20 @@ def test_histogram_holds_the_maximum_and_empty_bins(spark):
 def test_sample_is_reproducible(spark):
     df = spark.range(1000)
     assert rows(split.sample_rows(df, ["id"], 20)) == rows(split.sample_rows(df.repartition(7), ["id"], 20))
+
+
+def test_correlations_keep_digits_beside_a_far_value(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=500)
+    y = x + rng.normal(size=500)
+    x[7], z = -1e9, rng.normal(size=500) + 1e4
+    df = spark.createDataFrame([(float(a), float(b), float(c), 5.0) for a, b, c in zip(x, y, z)], "x double, y double, z double, k double")
+    found = {(r.a, r.b): r["corr"] for r in profile.correlations(df.repartition(5), ["x", "y", "z", "k"]).collect()}
+    want = np.corrcoef([x, y, z])
+    for i, a in enumerate("xyz"):
+        assert found[a, "k"] is found["k", a] is None
+        for j, b in enumerate("xyz"):
+            assert found[a, b] == pytest.approx(want[i, j], abs=1e-7)
+    assert found["k", "k"] is None
