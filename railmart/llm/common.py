@@ -115,8 +115,13 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def staged(df: DataFrame, name: str = "part") -> DataFrame:
-    """`df` written to the shared folder and read again: cuts lineage, and a lost executor costs a read."""
+def staged(df: DataFrame, name: str = "part", narrow: int = 1) -> DataFrame:
+    """`df` written to the shared folder and read again: cuts lineage, and a lost executor costs a read.
+
+    `narrow`: how many times fewer files than partitions, for tables of a few numbers where others carry texts.
+    """
+    if narrow > 1:
+        df = df.coalesce(max(1, partitions(df.sparkSession) // narrow))
     path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -142,7 +147,7 @@ def components(edges: DataFrame) -> DataFrame:
     same; then every edge leads straight to the smallest node. Each round is staged. No edges: no rows.
     """
     def seal(df: DataFrame) -> tuple[DataFrame, tuple]:
-        kept = staged(df, "edges")
+        kept = staged(df, "edges", narrow=8)
         found = kept.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         return kept, tuple(found)
 
@@ -153,7 +158,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = staged(large, "edges")
+        large = staged(large, "edges", narrow=8)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         then, found = seal(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
