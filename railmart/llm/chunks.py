@@ -27,7 +27,6 @@ BITS = 16
 GEAR = (mix(np.arange(5001, 5257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 CUT_BITS = 6  # a cut every 64 bytes or so
 LEAST, MOST = 32, 512
-BROADCAST_ROWS = 300_000
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
@@ -122,10 +121,8 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = L
             F.min(F.when(F.col("gone"), F.coalesce("first_id", "id"))).alias("first_id"),
         ), "chunks"
     )
-    few = lost.count() <= BROADCAST_ROWS and (lost.agg(F.sum(F.size("dropped"))).first()[0] or 0) <= 4 * BROADCAST_ROWS
     rest = df.drop("kept_text", "n_bytes", "n_shared", "n_repeated", "n_removed", "first_id")
-    lost = (F.broadcast(lost) if few else lost).withColumnRenamed("id", "_id")
-    joined = rest.join(lost, F.col(key) == F.col("_id"), "left").drop("_id").withColumn(
+    joined = rest.join(lost.withColumnRenamed("id", "_id"), F.col(key) == F.col("_id"), "left").drop("_id").withColumn(
         "n_shared", F.coalesce("n_shared", F.lit(0))
     )
 
