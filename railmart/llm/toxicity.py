@@ -132,6 +132,12 @@ def read_windows(net: dict, inputs: np.ndarray, index: np.ndarray, trace: dict |
     return pooled @ net["out"] + net["bias"][0]
 
 
+def local(inputs: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The inputs that some windows use, and the windows' places among them; no word stays the last."""
+    used, place = np.unique(np.append(index, len(inputs) - 1), return_inverse=True)
+    return inputs[used], place.reshape(-1)[:-1].reshape(index.shape)
+
+
 def gradients(net: dict, inputs: np.ndarray, index: np.ndarray, wanted: np.ndarray) -> tuple[dict, float]:
     trace: dict = {}
     logit = read_windows(net, inputs, index, trace)
@@ -170,28 +176,46 @@ def fit(texts: list[str | None], labels: np.ndarray, base: float, rounds: int =
     if not len(texts) or labels.min() == labels.max():
         return {"base": base}
     column = pa.array([t or "" for t in texts], pa.string())
-    data, offsets = next((d, o) for _, d, o in text_slices([pa.record_batch([column], ["text"])], limit=1 << 40))
-    data, hashes, starts, ends, place, at = word_ids(data, offsets)
-    row = np.repeat(np.arange(len(texts)), np.diff(at))
-
-    def log_odds(bucket: np.ndarray, of_row: np.ndarray) -> np.ndarray:
-        """Log of the toxic texts that hold a table place against as many as chance would give, smoothed."""
-        seen = np.unique(of_row * TABLE + bucket)
-        toxic = labels[seen // TABLE]
-        a, b = (np.bincount(seen % TABLE, w, TABLE) for w in (toxic, 1 - toxic))
+    slices, rows, words = [], 0, 0  # (first row, first word, what word_ids gives) of slices of the texts
+    for part, data, offsets in text_slices([pa.record_batch([column], ["text"])]):
+        found = word_ids(data, offsets)
+        slices.append((rows, words, found))
+        rows, words = rows + part.num_rows, words + len(found[1])
+
+    def log_odds(size: int) -> np.ndarray:
+        """Log of the toxic texts that hold a table place against as many as chance would give, smoothed.
+
+        Places of words, or of pieces of `size` letters; each counts once per text.
+        """
+        toxic, clean = np.zeros(TABLE), np.zeros(TABLE)
+        for row, _, (data, hashes, starts, ends, place, at) in slices:
+            held = np.unique(np.repeat(np.arange(len(at) - 1), np.diff(at)) * (len(hashes) + 1) + place)
+            of_row, word = np.divmod(held, len(hashes) + 1)
+            if size:
+                bucket, first = pieces(data, starts, ends, size)
+                count = np.diff(first)[word]
+                total = np.concatenate([[0], np.cumsum(count)])
+                bucket = bucket[np.repeat(first[:-1][word] - total[:-1], count) + np.arange(total[-1])]
+                of_row = np.repeat(of_row, count)
+            else:
+                bucket = (hashes % np.uint64(TABLE)).astype(np.int64)[word]
+            of_row, bucket = np.divmod(np.unique(of_row * TABLE + bucket), TABLE)
+            label = labels[row + of_row]
+            toxic += np.bincount(bucket, label, TABLE)
+            clean += np.bincount(bucket, 1 - label, TABLE)
         share = labels.sum() / (len(labels) - labels.sum())
-        return np.clip(np.log((a + SMOOTH) / (b * share + SMOOTH)), -4, 4).astype(np.float32)
-
-    model = {"word": log_odds((hashes % np.uint64(TABLE)).astype(np.int64)[place], row), "base": base}
-    for size in PIECES:
-        found, piece_at = pieces(data, starts, ends, size)
-        count = np.diff(piece_at)[place]
-        total = np.concatenate([[0], np.cumsum(count)])
-        each = np.repeat(piece_at[:-1][place] - total[:-1], count) + np.arange(total[-1])
-        model[f"piece{size}"] = log_odds(found[each], np.repeat(row, count))
-    inputs = features(model, data, hashes, starts, ends)
-    index, first = windows(place, at, len(hashes))
+        return np.clip(np.log((toxic + SMOOTH) / (clean * share + SMOOTH)), -4, 4).astype(np.float32)
+
+    model = {"word": log_odds(0), "base": base} | {f"piece{size}": log_odds(size) for size in PIECES}
+    inputs = np.concatenate([features(model, *f[:4])[:-1] for _, _, f in slices] + [np.zeros((1, INPUTS), np.float32)])
+    parts = [windows(f[4] + word, f[5], len(inputs) - 1) for _, word, f in slices]
+    index = np.concatenate([i for i, _ in parts]).astype(np.int32)
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f in parts]))])
     of_window = np.repeat(np.arange(len(texts)), np.diff(first))
+
+    def logits() -> np.ndarray:
+        return np.concatenate([read_windows(net, *local(inputs, index[i:i + 4096])) for i in range(0, len(index), 4096)])
+
     suspicion = inputs[:, :1 + len(PIECES)].sum(1)[index].max(1)
 
     def highest(score: np.ndarray) -> np.ndarray:
@@ -203,10 +227,10 @@ def fit(texts: list[str | None], labels: np.ndarray, base: float, rounds: int =
     clean = np.flatnonzero(labels[of_window] == 0)
     for step in range(1, rounds + 1):
         if step % 100 == 1:
-            top = highest(suspicion if step == 1 else read_windows(net, inputs, index))
+            top = highest(suspicion if step == 1 else logits())
             toxic, hard = top[labels == 1], top[labels == 0]
         chosen = np.concatenate([rng.choice(toxic, batch // 2), rng.choice(hard, batch // 4), rng.choice(clean, batch // 4)])
-        grad, _ = gradients(net, inputs, index[chosen], labels[of_window[chosen]].astype(np.float32))
+        grad, _ = gradients(net, *local(inputs, index[chosen]), labels[of_window[chosen]].astype(np.float32))
         for k, g in grad.items():
             m, v = moments[k]
             m += 0.1 * (g - m)
@@ -215,7 +239,7 @@ def fit(texts: list[str | None], labels: np.ndarray, base: float, rounds: int =
     model |= net
 
     # a logistic curve over each text's highest window, each class weighted to its share of all labels
-    x = np.maximum.reduceat(read_windows(net, inputs, index), first[:-1]).astype(float)
+    x = np.maximum.reduceat(logits(), first[:-1]).astype(float)
     weight = np.where(labels == 1, base / labels.mean(), (1 - base) / (1 - labels.mean()))
     slope, shift = 1.0, 0.0
     for _ in range(50):
