@@ -29,7 +29,7 @@ PATTERN = (
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 LONG = 96
-CACHED_WORDS = 400_000  # words kept per Python worker; some 100 MB
+CACHED_WORDS = 200_000  # words kept per Python worker, and half as many that change; some 60 MB
 ID_BITS = 20
 ID_MASK = (1 << ID_BITS) - 1
 NEVER = 1 << 60
@@ -170,20 +170,29 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterato
             yield batch.slice(first, rows)
 
 
-def encode(df: DataFrame, text: str = "text", ids: str = "ids", count: str = "n_tokens", vocabulary: str | None = None) -> DataFrame:
-    """`df` with each text's token ids and their number."""
+def encode(
+    df: DataFrame, text: str = "text", ids: str = "ids", count: str = "n_tokens", vocabulary: str | None = None,
+    exact: str | None = None,
+) -> DataFrame:
+    """`df` with each text's token ids and their number.
+
+    `exact` names a column that says whether the ids, decoded in the same pass, give the text back.
+    """
     shared = share(df.sparkSession, vocabulary)
 
     def run(batches):
         words = loaded(shared)
         for batch in small_batches(batches):
-            found = [words.encode(t or "") for t in batch.column(text).to_pylist()]
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            found = [words.encode(t) for t in texts]
+            same = {exact: pa.array([words.decode(i) == t for i, t in zip(found, texts)], pa.bool_())} if exact else {}
             yield with_columns(batch, {
-                ids: pa.array(found, pa.list_(pa.int32())), count: pa.array(map(len, found), pa.int64()),
+                ids: pa.array(found, pa.list_(pa.int32())), count: pa.array(map(len, found), pa.int64()), **same,
             })
 
     return df.mapInArrow(run, schema_with(df, [
         T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(count, T.LongType()),
+        *([T.StructField(exact, T.BooleanType())] if exact else []),
     ]))
 
 
