@@ -28,7 +28,7 @@ def op6_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its lines, those dropped as near copies of an earlier line, and the digest of what is left."""
-    return lines.dedup(table(spark, sf, "documents").select("doc_id", "text")).select(
+    return lines.dedup(table(spark, sf, "documents").select("doc_id", "text"), distance=None).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
 
