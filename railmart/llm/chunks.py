@@ -5,8 +5,9 @@ cut depends on the last BITS bytes only and cuts fall alike wherever a passage s
 Of equal chunks (by 128-bit digest) the first by (id, place) stays and the others are dropped, whatever their text.
 
 A passage of several hundred bytes always holds whole chunks; its ragged ends up to the next cut stay. Null and empty texts
-have no chunks. Chunks shorter than `least` (only a text's last) are never dropped, nor counted as repeats. Cuts fall
-between characters. Rows that share an id count as one text, so copies with one id keep their chunks. An empty table gives
+have no chunks. A chunk shorter than `least` (only a text's last) counts, with `tails`, as equal to another such chunk if the
+chunks before both are equal too, or if both are whole texts; so a copy loses all its bytes, and texts that only end alike
+keep their ends. Without `tails` such chunks are never dropped, nor counted as repeats. Cuts fall between characters. Rows that share an id count as one text, so copies with one id keep their chunks. An empty table gives
 no rows. Added columns replace namesakes.
 """
 
@@ -72,24 +73,31 @@ def cuts(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, most: int =
     return found
 
 
-def chunked(docs: DataFrame, least: int, most: int) -> DataFrame:
-    """(hi, lo, id, start, size, again): the chunks of at least `least` bytes; again: not the first such one of its text."""
+def chunked(docs: DataFrame, least: int, most: int, tails: bool) -> DataFrame:
+    """(hi, lo, id, start, size, again): the chunks of at least `least` bytes; again: not the first such one of its text.
+
+    With `tails` also a short last chunk, its digest taken from where the chunk before it starts.
+    """
     def run(batches):
         for batch, data, offsets in text_slices(batches):
             hashes, ids, starts, sizes, again = [], [], [], [], []
             raw = data.tobytes()
             for k, base, ends in zip(batch.column(0).to_pylist(), offsets.tolist(), cuts(data, offsets, least, most)):
-                last, met = 0, set()
+                before, last, met = 0, 0, set()
                 for end in ends:
-                    if end - last >= least:
-                        digest = blake2b(raw[base + last:base + end], digest_size=16).digest()
+                    whole = end - last >= least
+                    if whole or tails:
+                        digest = (
+                            blake2b(raw[base + last:base + end], digest_size=16) if whole
+                            else blake2b(raw[base + before:base + end], digest_size=16, key=(last - before).to_bytes(4, "big"))
+                        ).digest()
                         hashes.append(digest)
                         ids.append(k)
                         starts.append(last)
                         sizes.append(end - last)
                         again.append(digest in met)
                         met.add(digest)
-                    last = end
+                    before, last = last, end
             pair = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])),
@@ -99,14 +107,16 @@ def chunked(docs: DataFrame, least: int, most: int) -> DataFrame:
     return docs.mapInArrow(run, "hi long, lo long, id long, start long, size int, again boolean")
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, most: int = MOST) -> DataFrame:
+def dedup(
+    df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, most: int = MOST, tails: bool = False
+) -> DataFrame:
     """`df` with kept_text, n_bytes, n_shared, n_repeated, n_removed and first_id.
 
     n_shared counts the text's chunks that occur in other texts too, n_repeated those dropped, n_removed their bytes;
     first_id is the smallest id that keeps a chunk this text has lost, null where nothing is lost.
     """
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    found = chunked(docs, least, most)
+    found = chunked(docs, least, most, tails)
     first = (
         found.where("not again").groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
         .where("first_id < last_id").drop("last_id")

@@ -21,7 +21,7 @@ def op2_phrase_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with the chunks it shares and loses, and the digest of the text that is left."""
-    return chunks.dedup(table(spark, sf, "documents").select("doc_id", "text")).select(
+    return chunks.dedup(table(spark, sf, "documents").select("doc_id", "text"), tails=True).select(
         "doc_id", "n_bytes", "n_shared", "n_repeated", "n_removed", "first_id", F.sha2("kept_text", 256).alias("kept_sha256")
     )
 
