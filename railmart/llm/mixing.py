@@ -9,7 +9,8 @@ document would pass the budget.
 Tokens are runs without ASCII white space; null and empty texts have none. A null source counts as the source ''. Sources
 without tokens get weight 0: they are left out unless the budget is met exactly by nothing, so their documents, which all are
 empty, do not appear. Rows that share an id are one document with their tokens together (its source is the
-smallest name). Ties in the permutation go by id. An empty table or a budget of 0 gives no rows.
+smallest name). Ties in the permutation go by id. Rows with a null id are never drawn, as in the query's SQL, though
+their tokens count in their source's total: what is read is told by id. An empty table or a budget of 0 gives no rows.
 The table of sources is gathered in one row: a name and two numbers for each source, whatever the number of documents.
 """
 

@@ -2,12 +2,13 @@
 
 A document's set holds its distinct shingles of `size` words (words: runs without ASCII white space, A-Z lower-cased); a
 shorter document has its whole word sequence as the one element. Sets link when 100 * |A & B| >= percent * |A | B|.
-Empty, null and blank texts have an empty set, link with nothing and are their own component. Repeated rows of one id
-link like copies. An empty table gives no rows. Extra columns are left alone; added ones replace namesakes.
+Empty, null and blank texts have an empty set, link with nothing and are their own component. Rows of one id are linked,
+whatever their texts, and n_shingles is that of the largest set. Rows with a null id are linked by their texts only; their
+component is the smallest id they reach, null if they reach none. Rows are told apart by 64 bits of id and text. An empty table gives no rows. Extra columns are left alone; added ones replace namesakes.
 
 How every link is found without pairing whole groups:
 
-* Copies (equal sets) collapse to their smallest id; everything below runs on these representatives.
+* Copies (equal sets) collapse to one row; everything below runs on these representatives.
 * Shingles get one order for all documents: how often a table of counters over all shingles has seen them (its size is
   fixed, so it may be sent to all tasks), then their hash. Only the order depends on the counters, never the result.
 * Linked sets share one of their first |A| - ceil(t |A|) + 1 shingles in that order, so only these short lists are
@@ -30,7 +31,7 @@ from bisect import bisect_left
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,12 +238,17 @@ def fits(n_a: str, place_a: str, n_b: str, place_b: str, percent: int) -> str:
     )
 
 
+def row_key(key: str, text: str) -> Column:
+    """64 bits of id and text, never null; the place of nulls is hashed too."""
+    return F.xxhash64(F.col(key).isNull(), F.col(key).cast("long"), F.col(text).isNull(), F.col(text))
+
+
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """`df` with n_shingles and component_id, the smallest id reachable by links."""
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    docs = df.select(row_key(key, text).alias("id"), F.col(text).alias("text"))
     profiled = profile(docs, size)
     sets = profiled.where("block is null").select("id", "n", "digest")
-    # the smallest id stands for all copies of a set
+    # the smallest row key stands for all copies of a set
     copies = staged(sets.where("n > 0").groupBy("n", "digest").agg(F.min("id").alias("rep")), "copies")
     of = staged(
         sets.join(copies, ["n", "digest"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "members"
@@ -250,7 +256,7 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
     drop_staged(copies)
     level = levels(profiled)
     sizes = of.where("id = rep").select("id", "n").distinct()
-    others = of.groupBy("id").agg(F.min("rep").alias("rep")).where("id <> rep").select("id")
+    others = of.where("id <> rep").select("id").distinct()
     if others.count() <= BROADCAST_ROWS:
         others = F.broadcast(others)
     reps = docs.join(others, "id", "left_anti")
@@ -297,10 +303,20 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
     second = staged(second, "pairs")
     drop_staged(first)
     links = links.unionByName(search(second, sizes, docs, size, percent))
-    grouped = components(links)
 
-    found = of.groupBy("id").agg(F.max("n").alias("n_shingles"), F.min("rep").alias("rep")).join(
-        grouped, F.col("rep") == F.col("node"), "left"
-    ).select(F.col("id").alias("_id"), "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    named = df.select(row_key(key, text).alias("id"), F.col(key).cast("long").alias("doc")).distinct()
+    of = staged(of.distinct().join(named, "id"), "named")
+    # rows of one id
+    several = of.where("doc is not null").groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.max("n").alias("most")).where("a < b")
+    several = staged(several, "several")
+    same = of.join(several, "doc").where("a < rep").select("a", F.col("rep").alias("b"))
+    grouped = components(links.unionByName(same))
+
+    found = of.join(grouped, F.col("rep") == F.col("node"), "left").join(several.select("doc", "most"), "doc", "left").select(
+        "id", "doc", F.coalesce("most", "n").alias("n_shingles"), F.coalesce("component", "rep").alias("group")
+    )
+    found = staged(found, "grouped")
+    least = found.groupBy("group").agg(F.min("doc").alias("component_id"))
+    found = found.join(least, "group").select(F.col("id").alias("_id"), "n_shingles", "component_id")
     rest = df.drop("n_shingles", "component_id")
-    return rest.join(found, rest[key] == found["_id"]).drop("_id")
+    return rest.withColumn("_row", row_key(key, text)).join(found, F.col("_row") == F.col("_id")).drop("_id", "_row")
