@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, chunks, exact, lines, mixing, ngram_join, phrases, quality, suffixes, toxicity
+from railmart.llm import bpe, chunks, contamination, exact, lines, mixing, ngram_join, phrases, quality, suffixes, toxicity
 
 REPEATS = 1.25  # passes over any source that the mix allows
 
@@ -78,6 +78,15 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its words inside windows of the benchmark's items, and the items they come from."""
+    found = contamination.mark(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -89,6 +98,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_decontamination": op12_decontamination,
 }
 
 SQL: dict[str, str] = {
@@ -146,4 +156,33 @@ SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256
         FROM t JOIN g USING (x)
     """,
+    "op12_decontamination": """
+        WITH docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM benchmark
+        ), windows AS MATERIALIZED (
+            SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[place:place + least(len(words), 10) - 1], ' ') AS x
+            FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS place FROM items WHERE len(words) > 0)
+        ), spots AS (
+            SELECT row, n, place, array_to_string(words[place:place + n - 1], ' ') AS x
+            FROM (SELECT row, words, n, unnest(range(1, len(words) - n + 2)) AS place FROM docs, (SELECT DISTINCT n FROM windows))
+        ), met AS MATERIALIZED (SELECT row, n, place, item_id FROM spots JOIN windows USING (n, x)),
+        hits AS (
+            SELECT row, count(DISTINCT word) AS n_hit
+            FROM (SELECT row, unnest(range(place, place + n)) AS word FROM (SELECT DISTINCT row, n, place FROM met)) GROUP BY row
+        ), listed AS (
+            SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM met) GROUP BY row
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (row) LEFT JOIN listed USING (row)
+    """,
 }
