@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, chunks, contamination, exact, lines, mixing, ngram_join, phrases, quality, suffixes, toxicity
+from railmart.llm import bpe, chunks, contamination, exact, lines, mixing, ngram_join, phrases, quality, spelling, suffixes, toxicity
+from railmart.llm.common import staged
 
 REPEATS = 1.25  # passes over any source that the mix allows
 
@@ -87,6 +88,12 @@ def op12_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word of the documents with the number of words one edit away, its form, and the last form behind it."""
+    words = staged(spelling.vocabulary(table(spark, sf, "documents"), slips=97), "words", narrow=8)
+    return spelling.grouped(words)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -99,6 +106,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op12_decontamination": op12_decontamination,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
