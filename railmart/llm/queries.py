@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.llm import bpe, chunks, contamination, exact, lines, mixing, ngram_join, phrases, quality, spelling, suffixes, toxicity
+from railmart.llm import (
+    alignment, bpe, chunks, contamination, exact, lines, mixing, ngram_join, phrases, quality, spelling, suffixes, toxicity,
+)
 from railmart.llm.common import staged
 
 REPEATS = 1.25  # passes over any source that the mix allows
@@ -94,6 +96,11 @@ def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.grouped(words)
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its tokens, groups and links under two tokenizers, and the counts of its linked pairs."""
+    return alignment.align(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -105,6 +112,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_alignment": op11_alignment,
     "op12_decontamination": op12_decontamination,
     "op13_spelling": op13_spelling,
 }
