@@ -19,9 +19,9 @@ An empty table gives no rows. Only the key and the text are read; other columns
 
 from __future__ import annotations
 
-import os
 import uuid
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railmart.llm.bpe import PLAIN_BYTES, default_vocabulary
+from railmart.llm.bpe import Vocabulary, default_vocabulary
 from railmart.llm.common import staged, text_slices
 
 BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 1 << 16
@@ -60,17 +60,12 @@ class Tokenizers:
     """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, a: str, b: bytes) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a)
-        self.a.encode_special_tokens = True
+        self.a = Vocabulary(a)
+        self.a.cut = None  # strings of special tokens are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        others = [n for n in range(256) if n not in PLAIN_BYTES]
-        byte = {chr(n): n for n in PLAIN_BYTES} | {chr(256 + k): n for k, n in enumerate(others)}
-        known = {i: token for token, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.a_bytes = Ragged([bytes(byte[c] for c in known.get(i, "")) for i in range(max(known) + 1)])
+        self.a_bytes = Ragged([self.a.bytes_of.get(i, b"") for i in range(max(self.a.bytes_of) + 1)])
         self.b_bytes = Ragged([
             bytes([int(piece[3:-1], 16)]) if self.b.IsByte(i) else b"" if self.b.IsControl(i) or self.b.IsUnknown(i)
             else piece.replace("▁", " ").encode()
@@ -78,10 +73,6 @@ class Tokenizers:
         ])
         self.decimal = Ragged([b"%d" % i for i in range(max(len(self.a_bytes.size), len(self.b_bytes.size)))])
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return a, self.b.encode(texts, num_threads=1)
-
 
 _loaded: dict[int, Tokenizers] = {}
 
@@ -95,67 +86,100 @@ def loaded(shared) -> Tokenizers:
     return _loaded[key]
 
 
+class Side:
+    """Tokens of one tokenizer over texts written one after another, and how many bytes and tokens each text has."""
+
+    def __init__(self, tokens: list[list[int]], known: Ragged) -> None:
+        self.many = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.ids = np.fromiter(chain.from_iterable(tokens), np.int64, int(self.many.sum()))
+        self.sizes = known.size[self.ids]
+        self.bytes = np.diff(np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(self.many)])])
+
+    def keep(self, texts: np.ndarray) -> None:
+        chosen = np.repeat(texts, self.many)
+        self.ids, self.sizes, self.many, self.bytes = self.ids[chosen], self.sizes[chosen], self.many[texts], self.bytes[texts]
+
+
 class Aligned:
     """Tokens, groups and links of a slice of texts, as if it were one text."""
 
     def __init__(self, both: Tokenizers, texts: list[str | None]) -> None:
         self.count = len(texts)
-        filled = [k for k, t in enumerate(texts) if t]
-        a, b = both.encode([texts[k] for k in filled])
-        good = []
-        for k, x, y in zip(filled, a, b):
-            want = (" " + texts[k]).encode()
-            x, y = np.array(x, np.int64), np.array(y, np.int64)
-            if all(len(want) == side.size[i].sum() and side.joined(i).tobytes() == want for side, i in ((both.a_bytes, x), (both.b_bytes, y))):
-                good.append((k, x, y))
-        self.rows = np.array([k for k, _, _ in good], np.int64)
-        self.a = np.concatenate([np.zeros(0, np.int64), *(x for _, x, _ in good)])
-        self.b = np.concatenate([np.zeros(0, np.int64), *(y for _, _, y in good)])
-        self.a_ends, self.b_ends = np.cumsum(both.a_bytes.size[self.a]), np.cumsum(both.b_bytes.size[self.b])
-        self.a_last = np.cumsum([0, *(len(x) for _, x, _ in good)])
-        self.b_last = np.cumsum([0, *(len(y) for _, _, y in good)])
-        self.common = np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
-        self.text_ends = self.a_ends[self.a_last[1:] - 1]
+        self.rows = np.array([k for k, t in enumerate(texts) if t], np.int64)
+        filled = [" " + t for t in texts if t]
+        want = [t.encode() for t in filled]
+        a, b = Side([both.a.encode(t) for t in filled], both.a_bytes), Side(both.b.encode([t[1:] for t in filled], num_threads=1), both.b_bytes)
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        right = (a.bytes == size) & (b.bytes == size)  # of the right length, then byte for byte
+        self._keep(right, a, b)
+        data = np.frombuffer(b"".join(w for w, good in zip(want, right.tolist()) if good), np.uint8)
+        same = (both.a_bytes.joined(a.ids) == data) & (both.b_bytes.joined(b.ids) == data)
+        if not same.all():
+            size = size[right]
+            wrong = np.bincount(np.repeat(np.arange(len(size)), size), ~same, minlength=len(size)) > 0
+            self._keep(~wrong, a, b)
+        self.a, self.b = a.ids, b.ids
+        self.a_ends, self.b_ends = np.cumsum(a.sizes), np.cumsum(b.sizes)
+        self.a_many, self.b_many, self.text_ends = a.many, b.many, np.cumsum(a.bytes)
+        length = int(self.text_ends[-1]) if len(self.text_ends) else 0
+        self.a_end, self.b_end = np.zeros(length + 1, bool), np.zeros(length + 1, bool)  # does a token end after so many bytes
+        self.a_end[self.a_ends], self.b_end[self.b_ends] = True, True
+        self.group = np.cumsum(self.a_end & self.b_end)  # groups that end there or before
+
+    def _keep(self, texts: np.ndarray, a: Side, b: Side) -> None:
+        self.rows = self.rows[texts]
+        a.keep(texts)
+        b.keep(texts)
 
     def numbers(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of A, tokens of B and groups of every text."""
         out = np.zeros((3, self.count), np.int64)
-        out[0, self.rows], out[1, self.rows] = np.diff(self.a_last), np.diff(self.b_last)
-        out[2, self.rows] = np.diff(np.searchsorted(self.common, np.concatenate([[0], self.text_ends]), "right"))
+        out[0, self.rows], out[1, self.rows] = self.a_many, self.b_many
+        out[2, self.rows] = np.diff(self.group[self.text_ends], prepend=0)
         return out[0], out[1], out[2]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Pair and text of every link: one for each stretch of bytes between neighbouring ends of either side."""
-        ends = np.union1d(self.a_ends, self.b_ends)
-        a, b = self.a[np.searchsorted(self.a_ends, ends)], self.b[np.searchsorted(self.b_ends, ends)]
-        return a << ID_BITS | b, self.rows[np.searchsorted(self.text_ends, ends)]
+        ends = np.flatnonzero(self.a_end | self.b_end)
+        a, b = (side[np.cumsum(end)[ends - 1]] for side, end in ((self.a, self.a_end), (self.b, self.b_end)))
+        return a << ID_BITS | b, np.repeat(self.rows, np.diff(np.searchsorted(ends, self.text_ends, "right"), prepend=0))
 
     def digests(self, decimal: Ragged) -> list[str]:
         """SHA-256 of the groups of every text, written out."""
-        a_group, b_group = np.searchsorted(self.common, self.a_ends), np.searchsorted(self.common, self.b_ends)
+        a_group, b_group = self.group[self.a_ends - 1], self.group[self.b_ends - 1]
+        groups = int(self.group[-1])
+        a_before = np.concatenate([[0], np.cumsum(np.bincount(a_group, minlength=groups))])
+        b_before = np.concatenate([[0], np.cumsum(np.bincount(b_group, minlength=groups))])
         token = np.zeros(len(self.a) + len(self.b), np.int64)
         after = np.full(len(token), ord(","), np.uint8)
-        a_at = np.arange(len(self.a)) + np.searchsorted(b_group, a_group, "left")
-        b_at = np.arange(len(self.b)) + np.searchsorted(a_group, b_group, "right")
+        a_at = np.arange(len(self.a)) + b_before[a_group]
+        b_at = np.arange(len(self.b)) + a_before[b_group + 1]
         token[a_at], token[b_at] = self.a, self.b
-        after[a_at[np.isin(self.a_ends, self.common, assume_unique=True)]] = ord("|")
-        after[b_at[np.isin(self.b_ends, self.common, assume_unique=True)]] = ord(";")
-        size = decimal.size[token] + 1
-        ends = np.cumsum(size)
-        line = np.zeros(int(size.sum()), np.uint8)
+        after[a_at[self.b_end[self.a_ends]]] = ord("|")
+        after[b_at[self.a_end[self.b_ends]]] = ord(";")
+        ends = np.cumsum(decimal.size[token] + 1)
+        line = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
         inside = np.ones(len(line), bool)
         inside[ends - 1] = False
         line[inside], line[ends - 1] = decimal.joined(token), after
-        edges = np.concatenate([[0], ends])[self.a_last + self.b_last]
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(self.a_many + self.b_many)])]
         out = [""] * self.count
         for k, first, last in zip(self.rows.tolist(), edges.tolist(), edges[1:].tolist()):
             out[k] = sha256(line[first:last - 1].tobytes()).hexdigest()
         return out
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each comes."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.diff(first, append=len(keys))
+
+
 def compressed(texts: int, slot: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
     """Bitmaps of sorted (slot, text): their slots and popcounts, the 16-bit numbers of the sparse ones, the bits of the dense."""
-    slots, first, size = np.unique(slot, return_index=True, return_counts=True)
+    slots, size = distinct(slot)
+    first = np.cumsum(size) - size
     dense = size * DENSE >= texts
     sparse = text[np.repeat(~dense, size)].astype(np.uint16).tobytes()
     bits = []
@@ -189,8 +213,7 @@ class Block:
     def add(self, both: Tokenizers, batch: pa.RecordBatch, size: int) -> None:
         found = Aligned(both, batch.column(1).to_pylist())
         pair, text = found.links()
-        keys, times = np.unique(pair << 16 | text + self.texts, return_counts=True)
-        self.met.append((keys, times))
+        self.met.append(distinct(pair << 16 | text + self.texts))
         self.ids.append(batch.column(0))
         self.numbers.append(np.stack(found.numbers()))
         self.digests += found.digests(both.decimal)
@@ -202,7 +225,9 @@ class Block:
         times = np.concatenate([t for _, t in self.met])
         order = np.argsort(keys, kind="stable")
         keys, more = keys[order], times[order] - 1
-        pairs, slot = np.unique(keys >> 16, return_inverse=True)
+        pair = keys >> 16
+        pairs, many = distinct(pair)
+        slot = np.repeat(np.arange(len(pairs)), many)
         text = keys & 0xFFFF
         bitmaps, counts = [], []
         for digit in range(-1, int(more.max(initial=0)).bit_length()):
