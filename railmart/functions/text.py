@@ -41,14 +41,18 @@ def _stripped(char: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn")
 
 
+BLANKS = ("-_", "  ")  # read as spaces
+MARKED = "\u0300"  # combining marks and all scripts beyond Latin letters start here
+
+
 @lru_cache
 def _fold_table() -> tuple[str, str, dict[str, str]]:
-    """(from, to) for translate: accented letters to their base letter, combining marks to nothing; and
+    """(from, to) for translate: accented letters to their base letter, the BLANKS, combining marks to nothing; and
     the few characters that decompose to several, which translate cannot say.
 
     Built by rule from all Unicode decompositions, Hangul syllables aside, which follow arithmetic.
     """
-    letters, bases, marks, longer = [], [], [], {}
+    letters, bases, marks, longer = [*BLANKS[0]], [*BLANKS[1]], [], {}
     for point in [*range(0x80, HANGUL[0]), *range(HANGUL[1] + 1, 0xD800), *range(0xE000, 0x110000)]:
         char = chr(point)
         base = _stripped(char)
@@ -62,6 +66,26 @@ def _fold_table() -> tuple[str, str, dict[str, str]]:
     return "".join(letters + marks), "".join(bases), longer
 
 
+@lru_cache
+def _latin_fold_table() -> tuple[str, str]:
+    """The part of the table below MARKED: no marks, nothing that decomposes to several characters."""
+    source, target, longer = _fold_table()
+    assert min(longer) >= MARKED
+    pairs = [(c, t) for c, t in zip(source, target) if c < MARKED]
+    return "".join(c for c, _ in pairs), "".join(t for _, t in pairs)
+
+
+def _spans(chars: list[str], gap: int = 0x200) -> str:
+    """A character class of few ranges that holds all of `chars`, and what lies in narrow gaps between them."""
+    points, ranges = sorted(map(ord, chars)), []
+    for point in points:
+        if ranges and point - ranges[-1][1] <= gap:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
 # Hangul syllables: 19 leading consonants times 21 vowels times 28 endings, one of them empty
 HANGUL = (0xAC00, 0xD7A3)
 LEADS, VOWELS, ENDS = (
@@ -85,17 +109,33 @@ def _letters_of_syllables(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), letters), "")
 
 
-def fold_name(name: Column) -> Column:
-    """Upper-case key without accents; '-' and '_' are spaces; outer white space goes; NULL becomes the empty text."""
+def _fold_any_script(text: Column) -> Column:
     source, target, longer = _fold_table()
-    text = F.coalesce(name, F.lit(""))
     whole = text
     for char, base in longer.items():
         whole = F.replace(whole, F.lit(char), F.lit(base))
-    text = F.when(text.rlike(f"[{''.join(longer)}]"), whole).otherwise(text)
+    text = F.when(text.rlike(_spans([*longer])), whole).otherwise(text)
     text = F.when(text.rlike(f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}]"), _letters_of_syllables(text)).otherwise(text)
-    folded = F.translate(F.upper(F.translate(text, source, target)), "-_", "  ")
-    return F.regexp_replace(folded, WHITE_ENDS, "")
+    return F.translate(text, source, target)
+
+
+def _without_white_ends(text: Column) -> Column:
+    """Outer white space goes; the pattern only runs on a text whose first or last character is white."""
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return F.when(ends.rlike(WHITE_ENDS), F.regexp_replace(text, WHITE_ENDS, "")).otherwise(text)
+
+
+def fold_name(name: Column) -> Column:
+    """Upper-case key without accents; '-' and '_' are spaces; outer white space goes; NULL becomes the empty text.
+
+    A text of Latin letters alone, told by one range test, takes one small table; the classes that need more
+    (several letters for one, Hangul) are only looked for in the others.
+    """
+    text = F.coalesce(name, F.lit(""))
+    plain = F.when(text.rlike(f"[{MARKED}-\\x{{10FFFF}}]"), _fold_any_script(text)).otherwise(
+        F.translate(text, *_latin_fold_table())
+    )
+    return _without_white_ends(F.upper(plain))
 
 
 def strip_name_prefix(folded: Column) -> Column:

@@ -15,6 +15,7 @@ from railmart.operators.keep import keep_first
 from railmart.schemas import LEG_TYPES, typed
 
 TRIP = ["feed", "trip_id"]
+PATTERN = ["pattern_1", "pattern_2"]  # both halves of a stop pattern's digest
 
 
 def is_rail(route_type: Column) -> Column:
@@ -117,37 +118,54 @@ def trip_summary(
     )
 
 
-def stop_pairs(
-    calls: DataFrame,
-    stops: DataFrame,
-    min_km: float | None = None,
-) -> DataFrame:
-    """Every (origin, destination) a rail trip serves, one row per feed and pair.
-
-    A stop called at more than once in a trip is first folded to its first and last call: a pair
-    exists exactly if the first call at one end comes before the last call at the other. So a trip
-    enters the self-join with one row per stop name, however many calls it has, and the join is an
-    equi-join on the trip with AQE free to split a long one. `min_km` drops pairs known to be
-    shorter inside the join; the survivor per pair is the earliest departure, then the trip id.
-    """
+def served_stops(calls: DataFrame, stops: DataFrame) -> DataFrame:
+    """One row per trip and stop name: its first call `a` and its last call `b`."""
     named = stop_points(stops).where(named_stop(F.col("sname"), F.col("lat")))
     called = calls.join(named, ["feed", "stop_id"]).where(F.col("stop_sequence").isNotNull())
     first = F.min(
         F.struct("stop_sequence", "departure_time", "lat", "lon", "stop_id", "base_type")
     ).alias("a")
     last = F.max(F.struct("stop_sequence", "arrival_time", "lat", "lon", "stop_id")).alias("b")
-    served = called.groupBy(*TRIP, "sname").agg(first, last)
+    return called.groupBy(*TRIP, "sname").agg(first, last)
 
-    start = served.select(*TRIP, F.col("sname").alias("origin"), "a")
+
+def with_pattern(served: DataFrame) -> DataFrame:
+    """With the digest of the trip's stop pattern: its names with the places and numbers of their first and last
+    calls, but no times. Trips of a feed that call alike share it.
+
+    Two XORs of 64-bit hashes over the trip's names, so no list is built and the order of rows does not matter. A trip has
+    at most one row per stop name here, so the window stays small however many calls there are.
+    """
+    call = [F.col(f"{end}.{c}") for end in "ab" for c in ("stop_sequence", "stop_id", "lat", "lon")]
+    over_trip = Window.partitionBy(*TRIP)
+    return served.withColumns({
+        half: F.bit_xor(F.xxhash64(F.lit(half), "sname", *call)).over(over_trip) for half in PATTERN
+    })
+
+
+def pattern_starts(served: DataFrame) -> DataFrame:
+    """Of all trips of a pattern the one that leaves a stop first (by departure, then trip id): one row per
+    feed, pattern and stop name. Trips are combined before the shuffle, so a pattern run by many trips is no hot key."""
+    kept = F.min(F.struct("a.departure_time", "trip_id", "a")).alias("kept")
+    return with_pattern(served).groupBy("feed", *PATTERN, "sname").agg(kept).select(
+        "feed", "kept.trip_id", F.col("sname").alias("origin"), "kept.a"
+    )
+
+
+def pattern_pairs(calls: DataFrame, stops: DataFrame) -> DataFrame:
+    """Every (origin, destination) a stop pattern serves, with the first trip of the pattern to leave the origin.
+
+    A pair exists exactly if the first call at one end comes before the last call at the other, which the pattern decides. For
+    the trips of a pattern that differ in time only the earliest one can survive, so pairs are made from its starts
+    alone: their number is bounded by the patterns' lengths, not by the number of trips. The join is an equi-join on the trip.
+    """
+    served = served_stops(calls, stops)
     end = served.select(*TRIP, F.col("sname").alias("destination"), "b")
-    pairs = start.join(end, TRIP).where(
+    pairs = pattern_starts(served).join(end, TRIP).where(
         (F.col("a.stop_sequence") < F.col("b.stop_sequence"))
         & (F.col("origin") != F.col("destination"))
     )
-    if min_km is not None:
-        km = haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
-        pairs = pairs.where(km.isNull() | (km >= min_km))
-    rows = pairs.select(
+    return pairs.select(
         "feed", "origin", "destination",
         F.col("a.departure_time").alias("departure_time"),
         "trip_id",
@@ -158,7 +176,13 @@ def stop_pairs(
         F.col("b.arrival_time").alias("arrival_time"),
         F.col("a.base_type").alias("base_type"),
     )
-    return keep_first(rows, ["feed", "origin", "destination"], ["departure_time", "trip_id"])
+
+
+def stop_pairs(calls: DataFrame, stops: DataFrame) -> DataFrame:
+    """Every (origin, destination) a rail trip serves, one row per feed and pair: the earliest departure, then trip id."""
+    return keep_first(
+        pattern_pairs(calls, stops), ["feed", "origin", "destination"], ["departure_time", "trip_id"]
+    )
 
 
 def with_train_type(pairs: DataFrame) -> DataFrame:
@@ -168,13 +192,11 @@ def with_train_type(pairs: DataFrame) -> DataFrame:
     )
 
 
-def timetable_legs(
-    tables: dict[str, DataFrame], strict: bool = False, min_km: float | None = None
-) -> DataFrame:
+def timetable_legs(tables: dict[str, DataFrame], strict: bool = False) -> DataFrame:
     """Legs of all feeds in one plan."""
     trips = rail_trips(tables["trips"], tables["routes"], strict)
     calls = rail_calls(tables["stop_times"], trips)
-    pairs = with_train_type(stop_pairs(calls, tables["stops"], min_km))
+    pairs = with_train_type(stop_pairs(calls, tables["stops"]))
     return typed(
         pairs.withColumns({"source": F.lit("mobility_db"), "provider": F.col("feed")}), LEG_TYPES
     )

@@ -93,8 +93,66 @@ def test_stop_pairs_equal_brute_force(spark):
     got = timetable.stop_pairs(df, stops)
     assert {tuple(r) for r in got.select("origin", "destination").collect()} == want
     assert got.count() == len(want)
-    far = timetable.stop_pairs(df, stops, min_km=300.0)
-    assert 0 < far.count() < len(want)
+
+
+def timetable_of_patterns(spark, rng, patterns, trips):
+    """Calls of `trips` trips that run `patterns` stop lists at all hours, and the stops."""
+    lists = [[rng.randint(0, 11) for _ in range(rng.randint(2, 9))] for _ in range(patterns)]
+    calls = []
+    for t in range(trips):
+        at = rng.randint(0, 1000)
+        for k, stop in enumerate(lists[t % patterns]):
+            calls.append((f"F{t % 2}", f"T{t:04d}", str(stop), 10 * k, f"{at:05d}+{k}", f"{at:05d}-{k}", "TGV" if t % 3 else "ICE"))
+    df = spark.createDataFrame(
+        calls, "feed string, trip_id string, stop_id string, stop_sequence int, departure_time string, arrival_time string, base_type string"
+    )
+    stops = spark.createDataFrame(
+        [(f, str(i), f"N{i // 2}", str(45 + i), str(5.0)) for i in range(12) for f in ("F0", "F1")],
+        "feed string, stop_id string, stop_name string, stop_lat string, stop_lon string",
+    )
+    return calls, df, stops
+
+
+def test_pairs_are_bounded_by_patterns_not_by_trips(spark):
+    """Ten times the trips over the same patterns give the same number of pair rows before the survivors are chosen."""
+    few, many = (
+        timetable.pattern_pairs(*timetable_of_patterns(spark, random.Random(5), 6, trips)[1:]).count() for trips in (60, 600)
+    )
+    assert few == many > 0
+
+
+def test_pairs_by_pattern_keep_the_earliest_trip(spark):
+    """Whole rows against brute force over all trips: times, trip, places and type of the survivor."""
+    calls, df, stops = timetable_of_patterns(spark, random.Random(6), 7, 90)
+    trips = {}
+    for feed, trip, stop, seq, dep, arr, kind in calls:
+        trips.setdefault((feed, trip), {}).setdefault(f"N{int(stop) // 2}", []).append((seq, dep, arr, int(stop), kind))
+    want = {}
+    for (feed, trip), names in trips.items():
+        for a, starts in names.items():
+            for b, ends in names.items():
+                first, last = min(starts), max(ends)
+                if a != b and first[0] < last[0]:
+                    row = (first[1], trip, 45.0 + first[3], 45.0 + last[3], last[2], first[4])
+                    want[feed, a, b] = min(row, want.get((feed, a, b), row))
+    got = timetable.stop_pairs(df, stops).select(
+        "feed", "origin", "destination", "departure_time", "trip_id", "station_lat", "station_lat_dest", "arrival_time", "base_type"
+    ).collect()
+    assert {tuple(r[:3]): tuple(r[3:]) for r in got} == want and len(got) == len(want)
+
+
+def test_patterns_tell_stop_lists_apart(spark):
+    def patterns(rows):
+        df = spark.createDataFrame([("F", t, s, q, "1", "2", "TGV") for t, s, q in rows],
+                                   "feed string, trip_id string, stop_id string, stop_sequence int, departure_time string, arrival_time string, base_type string")
+        stops = spark.createDataFrame([("F", s, s, "45", "5") for s in "ABC"],
+                                      "feed string, stop_id string, stop_name string, stop_lat string, stop_lon string")
+        served = timetable.with_pattern(timetable.served_stops(df, stops))
+        return {r.trip_id: (r.pattern_1, r.pattern_2) for r in served.distinct().collect()}
+
+    got = patterns([("1", "A", 1), ("1", "B", 2), ("2", "B", 1), ("2", "A", 2), ("3", "B", 2), ("3", "A", 1), ("4", "A", 1),
+                    ("5", "A", 1), ("5", "B", 2), ("5", "A", 3), ("6", "A", 1), ("6", "B", 2), ("6", "C", 3)])
+    assert got["1"] == got["3"] and len(set(got.values())) == 5
 
 
 def test_trip_lengths_of_a_trip_longer_than_a_partition(spark):
