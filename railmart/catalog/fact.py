@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from railmart.catalog import standins as S
@@ -15,7 +17,8 @@ from railmart.operators.star import (
     planes, resolve_keys, trains, upsert, warehouse_types,
 )
 from railmart.plans import modelling, queries
-from railmart.session import cut_lineage
+from railmart.plans.merging import merge
+from railmart.session import cut_lineage, staging_folder
 
 FACT_COLUMNS = [
     "origin", "destination", "vehicule_type", "co2_train_kg", "co2_avion_kg", "co2_saved_kg",
@@ -58,6 +61,17 @@ def fact_corridor(spark, sf):
     return S.rounded(fact_corridors(S.routes(spark, sf)).select(*FACT_COLUMNS), 4, KG)
 
 
+def merge_incremental(spark, sf):
+    """The fact after three loads that merge: two feeds, part of a third, then that one in full with all others."""
+    rail, airports = S.rail(spark, sf), S.airports(spark, sf)
+    root = f"{staging_folder(spark)}/merge-{uuid.uuid4().hex}"
+    first, third = F.col("provider").isin("AUTOMOBILE", "FURNITURE"), F.col("provider") == "MACHINERY"
+    merge(spark, root, rail.where(first), airports)
+    merge(spark, root, rail.where(third & F.col("vehicule_type").contains("T")), airports)
+    fact = merge(spark, root, rail.where(~first), airports)["fact"]
+    return S.rounded(fact.select(*FACT_COLUMNS), 4, KG)
+
+
 def station_attributes(spark, sf):
     """Footfall and population of every end, from the balances of customers and suppliers."""
     customers = S.table(spark, sf, "customer").select(
@@ -294,6 +308,7 @@ QUERIES = {
     "orphan_check": orphan_check,
     "unique_key_check": unique_key_check,
     "upsert_incremental": upsert_incremental,
+    "merge_incremental": merge_incremental,
     "decimal_sink": decimal_sink,
     "surrogate_keys": surrogate_keys,
     "hash_key_collisions": hash_key_collisions,
@@ -349,6 +364,7 @@ NIGHT = "vehicule_type ILIKE '%nuit%'"
 
 SQL = {
     "fact_corridor": S.sql(FACT_SQL, 4, KG),
+    "merge_incremental": S.sql(FACT_SQL, 4, KG),
     "final_routes": S.sql(
         """SELECT origin, destination, vehicule_type, origin_city, distance_km, co2_kg, departure_time, arrival_time,
         source, provider FROM routes""", 4, "distance_km co2_kg"),

@@ -15,8 +15,8 @@ from railmart.operators.keep import keep_first
 FULL_CIRCLE = 360
 
 
-def stations_of(routes: DataFrame) -> DataFrame:
-    """Distinct (station_name, station_lat, station_long) of both ends, from one scan."""
+def stations_of(routes: DataFrame, *also: str) -> DataFrame:
+    """Distinct (station_name, station_lat, station_long) of both ends, from one scan; `also`: with these columns."""
     ends = F.array(
         F.struct(
             F.col("origin").alias("station_name"),
@@ -30,7 +30,7 @@ def stations_of(routes: DataFrame) -> DataFrame:
         ),
     )
     return (
-        routes.select(F.inline(ends))
+        routes.select(*also, F.inline(ends))
         .where(
             F.col("station_name").isNotNull()
             & F.col("station_lat").isNotNull()

@@ -60,16 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     numbers belong to one sort. A lost executor then costs a read, not the whole history; the files
     are columnar, so readers still take only the columns they need.
     """
-    path = f"{_staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def _staging_folder(spark: SparkSession) -> str:
+def staging_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/railmart-{spark.sparkContext.applicationId}"
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete all tables this application has staged; for when the results that read them are written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_folder(spark))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,7 @@ from railmart import session
 def test_staged_tables_can_be_cleared(spark):
     kept = session.cut_lineage(spark.range(5))
     assert kept.count() == 5
-    folder = Path(session._staging_folder(spark).removeprefix("file:"))
+    folder = Path(session.staging_folder(spark).removeprefix("file:"))
     assert any(folder.iterdir())
     session.clear_staged(spark)
     assert not folder.exists()
