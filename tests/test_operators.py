@@ -221,6 +221,27 @@ def test_tiered_lookup(spark):
     }
 
 
+def test_short_names_never_pair(spark):
+    """One- and two-letter names on both sides: the hits of brute force, from one row per name and piece at most."""
+    rng = random.Random(21)
+    letters = "ABÉ C"
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n)).strip()
+    norms = sorted({text(rng.randint(1, 5)) for _ in range(150)} - {""})
+    refs = sorted({text(rng.randint(1, 4)) for _ in range(120)} | {"A", "B", "AB"})
+    rng.shuffle(refs)
+    names = spark.createDataFrame([(n,) for n in norms], "norm string")
+    reference = spark.createDataFrame([(r, f"v{k}", k) for k, r in enumerate(refs)], "ref string, value string, ord long")
+    want = {}
+    for n in norms:
+        hits = [(1 if r == n else 2 if r in n else 3, k, f"v{k}") for k, r in enumerate(refs) if r and (r in n or n in r)]
+        if hits:
+            want[n] = (min(hits)[2], min(hits)[0])
+    found = lookups.tiered_lookup(names, reference)
+    assert {r.norm: (r.value, r.tier) for r in found.collect()} == want and found.count() == len(want)
+    assert lookups.short_around(names, reference).count() == len([n for n in norms if len(n) < 3 and any(n in r for r in refs)])
+    assert lookups.contained_pairs(reference, names, "ref", "norm").where("length(ref) < 3").isEmpty()
+
+
 def test_tiered_lookup_equals_brute_force(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("AB ") for _ in range(rng.randint(1, 7))).strip()
