@@ -9,6 +9,7 @@ from railmart.operators import profile as P
 from railmart.operators.quantiles import median
 from railmart.session import cut_lineage
 
+ENDS = ["origins", "destinations", "stations"]
 COMPLETE = ["distance_km", "co2_kg", "departure_time", "station_lat"]
 MONEY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -61,6 +62,16 @@ def coverage_distinct(spark, sf):
     return P.distinct_ends(S.legs(spark, sf))
 
 
+def coverage_sketch(spark, sf):
+    """Exact distinct ends, and whether the estimates from the stored sketches of all feeds are within 5% of them."""
+    legs = S.legs(spark, sf)
+    stored = cut_lineage(P.end_sketches(legs, ["provider"]))
+    guessed = P.united_ends(stored).select(F.struct(*ENDS)).scalar()  # one row
+    exact = P.distinct_ends(legs).withColumn("guessed", guessed)
+    near = {f"{c}_near": F.abs(F.col(f"guessed.{c}") - F.col(c)) <= F.col(c) * 0.05 for c in ENDS}
+    return exact.withColumns(near).select(*ENDS, *near)
+
+
 def node_degree_top(spark, sf):
     return P.most_connected(S.legs(spark, sf))
 
@@ -195,7 +206,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         overview, freq_share, stats_by_type, subset_intensity, night_breakdown, night_stats,
-        coverage_distinct, node_degree_top, completeness, null_profile, column_profile, summary_stats,
+        coverage_distinct, coverage_sketch, node_degree_top, completeness, null_profile, column_profile, summary_stats,
         describe_exact, by_vehicle, by_mode, intensity_by_type, distance_category, dashboard_clean,
         top_savings, savings_mean, day_night_trains, train_detail, kpis, dup_count, iqr_outliers,
         histogram, box_stats, ratio_median, median_by_type, corr_matrix, corr_target, class_counts,
@@ -288,6 +299,10 @@ SQL = {
     "coverage_distinct": S.sql(
         """SELECT (SELECT count(DISTINCT origin) FROM legs) AS origins, (SELECT count(DISTINCT destination) FROM legs)
         AS destinations, (SELECT count(*) FROM (SELECT origin FROM legs UNION SELECT destination FROM legs)) AS stations"""),
+    "coverage_sketch": S.sql(
+        """SELECT *, true AS origins_near, true AS destinations_near, true AS stations_near FROM (
+        SELECT (SELECT count(DISTINCT origin) FROM legs) AS origins, (SELECT count(DISTINCT destination) FROM legs)
+        AS destinations, (SELECT count(*) FROM (SELECT origin FROM legs UNION SELECT destination FROM legs)) AS stations)"""),
     "node_degree_top": S.sql(
         """SELECT station, count(*) AS connections FROM (SELECT origin AS station FROM legs UNION ALL
         SELECT destination FROM legs) GROUP BY 1 ORDER BY connections DESC, station LIMIT 10"""),

@@ -9,6 +9,7 @@ from railmart.catalog import standins as S
 from railmart.schemas import keep_existing, rename_existing, typed
 from railmart.sources.catalogue import feeds_to_load
 from railmart.sources.cube import decode_cube
+from railmart.sources.population import of_listed_countries
 
 COUNTRIES = {"BUILDING": "FR", "AUTOMOBILE": "DE", "MACHINERY": "US", "HOUSEHOLD": "CH", "FURNITURE": "IT"}
 WORDS = {"PROMO": " Bus", "SMALL": " autocars", "LARGE": " Fernverkehr", "ECONOMY": " TER"}
@@ -35,7 +36,7 @@ def feed_filter(spark, sf):
 def country_whitelist(spark, sf):
     """Customers of listed countries only."""
     rows = S.table(spark, sf, "customer").select("c_custkey", S.mapped(F.col("c_mktsegment"), COUNTRIES).alias("country"))
-    return rows.where(F.col("country").isin(C.GAZETTEER_COUNTRIES))
+    return of_listed_countries(rows, "country")
 
 
 def typed_clean(spark, sf):

@@ -63,10 +63,15 @@ def read_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def of_listed_countries(df: DataFrame, column: str = "country_code") -> DataFrame:
+    """Places of the countries the job covers."""
+    return df.where(F.col(column).isin(C.GAZETTEER_COUNTRIES))
+
+
 def read_gazetteer_dump(spark: SparkSession, path: str) -> DataFrame:
     """Headerless tab-separated dump: listed countries only, rows shorter than 15 fields dropped."""
     fields = spark.read.text(path).select(F.split("value", "\t").alias("f")).where(F.size("f") >= GAZETTEER_WIDTH)
     named = fields.select(*[blank_to_null(F.get("f", F.lit(i))).alias(name) for i, name in GAZETTEER_FIELDS.items()])
-    return named.where(F.col("country_code").isin(C.GAZETTEER_COUNTRIES)).select(
+    return of_listed_countries(named).select(
         "name", "asciiname", "country_code", "population", "latitude", "longitude"
     )

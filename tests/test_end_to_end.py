@@ -1,3 +1,4 @@
+import json
 from pathlib import Path
 
 import pytest
@@ -202,8 +203,18 @@ def test_report_tables_have_rows(tables, view):
     quality = report.dashboard(view)["quality"].first()
     total = sum(r.nulls for r in report.dashboard(view)["nulls"].collect())
     assert (quality.rows, quality.nulls) == (view.count(), total)
-    long = profile.sections({"quality": report.dashboard(view)["quality"], "kpis": report.dashboard(view)["kpis"]})
-    assert {r.section for r in long.collect()} == {"quality", "kpis"}
+
+
+def test_sections_hold_the_values_of_every_table(tables, view):
+    """The report as one long relation: each row of each section, read back from its JSON."""
+    parts = report.report(tables["routes_final"]) | report.dashboard(view)
+    found = {}
+    for r in profile.sections(parts).collect():
+        found.setdefault(r.section, []).append(json.loads(r.row))
+    for name, df in parts.items():
+        want = [json.loads(t) for t in df.toJSON().collect()]
+        assert sorted(found.get(name, []), key=repr) == sorted(want, key=repr), name
+    assert found["coverage"][0]["stations"] == 6
 
 
 def test_model_tables(tables, tmp_path, spark):

@@ -221,6 +221,22 @@ def test_tiered_lookup(spark):
     }
 
 
+def test_sketches_of_feeds_unite_to_the_distinct_counts(spark):
+    """Stored per feed, united in any grouping, within four standard errors of the exact count; a feed counted twice changes nothing."""
+    rng = random.Random(13)
+    rides = spark.createDataFrame(
+        [(f"f{k % 5}", f"s{rng.randint(0, 9000)}", f"s{rng.randint(4000, 20000)}") for k in range(30_000)] + [("f9", None, "s1")],
+        "provider string, origin string, destination string",
+    )
+    sketches = profile.end_sketches(rides, ["provider"]).cache()
+    exact = profile.distinct_ends(rides).first()
+    once, twice = (profile.united_ends(df).first() for df in (sketches, sketches.unionByName(sketches)))
+    assert once == twice
+    for name in ("origins", "destinations", "stations"):
+        assert abs(once[name] / exact[name] - 1) < 4 * 1.04 / 2 ** (profile.SKETCH_BITS / 2)
+    assert profile.united_ends(sketches, ["provider"]).count() == 6
+
+
 def test_short_names_never_pair(spark):
     """One- and two-letter names on both sides: the hits of brute force, from one row per name and piece at most."""
     rng = random.Random(21)

@@ -2,6 +2,7 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from railmart.operators.timetable import timetable_legs
@@ -171,7 +172,9 @@ def test_row_counts_come_with_the_job(spark):
 
     from railmart.operators.profile import counted
 
-    assert counted(spark.range(3), "stage").columns == ["id"]
+    seen = Observation("stage")
+    assert counted(spark.range(3), seen).where("id > 0").count() == 2
+    assert seen.get == {"rows": 3}
     seen = Observation("n")
     spark.range(5).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
     assert seen.get == {"rows": 5}
