@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart.session import shared_folder
+from railmart.session import staging_folder
 
 SLICE_BYTES = 1 << 20
 
@@ -116,13 +116,14 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def staged(df: DataFrame, name: str = "part", narrow: int = 1) -> DataFrame:
-    """`df` written to the shared folder and read again: cuts lineage, and a lost executor costs a read.
+    """`df` written to the application's folder in the shared one and read again: cuts lineage, and a lost executor costs a
+    read. What is not dropped before goes with `session.clear_staged`.
 
     `narrow`: how many times fewer files than partitions, for tables of a few numbers where others carry texts.
     """
     if narrow > 1:
         df = df.coalesce(max(1, partitions(df.sparkSession) // narrow))
-    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{staging_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
