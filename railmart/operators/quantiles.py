@@ -2,61 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from railmart.session import cut_lineage
+
 SEARCH_STEPS = (64, 32, 16, 8, 4, 2, 1)  # halving search over at most 127 cuts
 CUTS = 128
+LARGEST = 1 << 20  # distinct values of a bucket that one task sorts
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, shares: list[float], by: list[str] | None = None
+    df: DataFrame, column: str, shares: list[float], by: list[str] | None = None, largest: int = LARGEST
 ) -> DataFrame:
     """Linear-interpolated quantiles as array `quantiles` per group of `by` (NULLs left out).
 
     The built-in `percentile` keeps every distinct value of a group in one task. Here equal values
-    are counted first, a mergeable sketch cuts the distinct values of each group into even buckets,
-    the bucket sizes tell in which buckets the wanted ranks lie, and only those buckets are sorted.
+    are counted first and staged. A mergeable sketch cuts the distinct values of each group into even buckets,
+    the bucket sizes tell in which buckets the wanted ranks lie, and only those go on: they are cut again, as often as it takes
+    until a bucket holds no more than `largest` values. Only the last buckets are sorted, so what a
+    task sorts does not grow with the rows.
     """
     by = by or []
     values = df.select(*by, F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    counted = values.groupBy(*by, "x").agg(F.count("*").alias("n"))
-    cuts = counted.groupBy(*by).agg(
-        F.array_distinct(
-            F.percentile_approx("x", [i / CUTS for i in range(1, CUTS)], 10_000)
-        ).alias("cuts")
-    )
-    bucketed = _with_groups(counted, cuts, by).withColumn("bucket", F.lit(0))
-    for step in SEARCH_STEPS:  # bucket = number of cuts below x
-        below = F.get("cuts", F.col("bucket") + (step - 1)) < F.col("x")
-        bucketed = bucketed.withColumn("bucket", F.col("bucket") + F.when(below, step).otherwise(0))
-    bucketed = bucketed.select(*by, "x", "n", "bucket")
-    group = Window.partitionBy(*by)
-    earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = bucketed.groupBy(*by, "bucket").agg(F.sum("n").alias("size"))
-    ranks = F.array(*[F.lit(float(s)) for s in shares])
-    spans = (
-        sizes.withColumns(
-            {
-                "start": F.coalesce(F.sum("size").over(earlier), F.lit(0)),
-                "total": F.sum("size").over(group),
-            }
-        )
-        # zero-based ranks on both sides of each wanted place
-        .withColumn("places", F.transform(ranks, lambda s: s * (F.col("total") - 1)))
-        .where(
-            F.exists(
-                "places",
-                lambda p: (F.ceil(p) >= F.col("start")) & (F.floor(p) < F.col("start") + F.col("size")),
-            )
-        )
-        .select(*[F.col(c).alias(f"s_{c}") for c in by], F.col("bucket").alias("s_bucket"), "start", "places")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in by] + [F.col("bucket") == F.col("s_bucket")]
-    wanted = bucketed.join(spans, same)
-    in_bucket = Window.partitionBy(*by, "bucket").orderBy("x")
-    last = F.col("start") + F.sum("n").over(in_bucket) - 1
-    ranked = wanted.withColumn("last", last).withColumn("first", F.col("last") - F.col("n") + 1)
+    counted = cut_lineage(values.groupBy(*by, "x").agg(F.count("*").alias("n")))
+    ranked = _ranked(wanted_buckets(counted, shares, by, narrowings(counted, largest)), by)
 
     def value_at(rank):
         return F.max(F.when((F.col("first") <= rank) & (rank <= F.col("last")), F.col("x")))
@@ -70,12 +40,80 @@ def exact_quantiles(
     return ranked.groupBy(*by).agg(F.array(*picked).alias("quantiles"))
 
 
+def narrowings(counted: DataFrame, largest: int) -> int:
+    """How often the values have to be cut; their number is in the files' footers."""
+    times, left = 1, counted.count() / CUTS
+    while left > largest:
+        times, left = times + 1, left / CUTS
+    return times
+
+
+def wanted_buckets(counted: DataFrame, shares: list[float], by: list[str], times: int) -> DataFrame:
+    """Rows (by, bucket, x, n, start, places) of the buckets that hold a wanted rank; `start`: values before the bucket."""
+    ranks = F.array(*[F.lit(float(s)) for s in shares])
+    # zero-based ranks on both sides of each wanted place
+    places = F.transform(ranks, lambda s: s * (F.sum("n") - 1)).alias("places")
+    rows = _in_buckets(counted, counted.groupBy(*by).agg(_cuts(), places), by).withColumn("start", F.lit(0))
+    rows = _holding_ranks(rows, by, ["bucket"])
+    for _ in range(times - 1):
+        rows = cut_lineage(rows.withColumnRenamed("bucket", "outer"))
+        group = [*by, "outer"]
+        finer = _in_buckets(rows, rows.groupBy(*group).agg(_cuts()), group)
+        rows = _holding_ranks(finer, group, ["bucket"]).withColumn(
+            "bucket", F.col("outer") * CUTS + F.col("bucket")
+        ).drop("outer")
+    return rows
+
+
+def _cuts() -> Column:
+    shares = [i / CUTS for i in range(1, CUTS)]
+    return F.array_distinct(F.percentile_approx("x", shares, 10_000)).alias("cuts")
+
+
+def _in_buckets(rows: DataFrame, info: DataFrame, group: list[str]) -> DataFrame:
+    """Rows with the `info` of their group and their bucket: the number of cuts below x."""
+    found = _with_groups(rows, info, group).withColumn("bucket", F.lit(0).cast("long"))
+    for step in SEARCH_STEPS:
+        below = F.get("cuts", (F.col("bucket") + (step - 1)).cast("int")) < F.col("x")
+        found = found.withColumn("bucket", F.col("bucket") + F.when(below, step).otherwise(0))
+    return found.drop("cuts")
+
+
+def _holding_ranks(rows: DataFrame, group: list[str], bucket: list[str]) -> DataFrame:
+    """Only the buckets in which a wanted rank lies, with the number of values before each."""
+    over = Window.partitionBy(*group)
+    earlier = over.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*group, *bucket).agg(
+        F.sum("n").alias("size"), F.first("start").alias("start"), F.first("places").alias("places")
+    )
+    spans = (
+        sizes.withColumn("start", F.col("start") + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+        .where(
+            F.exists(
+                "places",
+                lambda p: (F.ceil(p) >= F.col("start")) & (F.floor(p) < F.col("start") + F.col("size")),
+            )
+        )
+        .select(*[F.col(c).alias(f"s_{c}") for c in [*group, *bucket]], "start", "places")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in [*group, *bucket]]
+    return rows.drop("start", "places").join(spans, same).select(*group, *bucket, "x", "n", "start", "places")
+
+
+def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with the ranks of the first and the last of their equal values."""
+    in_bucket = Window.partitionBy(*by, "bucket").orderBy("x")
+    last = F.col("start") + F.sum("n").over(in_bucket) - 1
+    return rows.withColumn("last", last).withColumn("first", F.col("last") - F.col("n") + 1)
+
+
 def _with_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     """Attach the row of each group; without groups `right` is a single row, used as a subquery."""
+    added = [c for c in right.columns if c not in by]
     if not by:
-        return left.withColumn("cuts", right.select("cuts").scalar())
-    renamed = right.select(*[F.col(c).alias(f"g_{c}") for c in by], "cuts")
-    return left.join(renamed, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in by])
+        return left.withColumn("info", right.select(F.struct(*added)).scalar()).select("*", "info.*").drop("info")
+    renamed = right.select(*[F.col(c).alias(f"g_{c}") for c in by], *added)
+    return left.join(renamed, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in by]).drop(*[f"g_{c}" for c in by])
 
 
 def median(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from railmart.operators import lookups, profile, split, timetable
+from railmart.operators import lookups, profile, quantiles, split, timetable
 from railmart.operators.keep import keep_first
 from railmart.operators.nearest import nearby_pairs, nearest_airports
 from railmart.operators.night_sheet import sheet_legs
@@ -348,6 +348,23 @@ def test_quantiles_are_exact(spark, by):
         assert row.quantiles == pytest.approx(np.quantile(part, shares), abs=1e-9)
 
 
+def test_the_largest_sorted_bucket_does_not_grow(spark):
+    """Thirty times the values: more narrowings, no larger bucket, and the same quantiles as from one sorted array."""
+    shares = [0.01, 0.5, 0.77]
+    sizes = {}
+    for n in (3_000, 90_000):
+        x = np.random.default_rng(n).exponential(size=n)
+        df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(x)], "g int, x double")
+        counted = df.groupBy("g", "x").agg(F.count("*").alias("n"))
+        times = quantiles.narrowings(counted, 30)
+        kept = quantiles.wanted_buckets(counted, shares, ["g"], times)
+        sizes[n] = (times, max(r["count"] for r in kept.groupBy("g", "bucket").count().collect()))
+        for row in exact_quantiles(df, "x", shares, ["g"], largest=30).collect():
+            assert row["quantiles"] == pytest.approx(np.quantile(x[row.g::2], shares), abs=1e-12)
+    assert sizes[3_000][0] == 1 and sizes[90_000][0] == 2
+    assert sizes[90_000][1] <= sizes[3_000][1] <= 60
+
+
 def test_quantiles_of_nothing_and_of_one_value(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]).first().quantiles == [None]
