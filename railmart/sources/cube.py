@@ -39,7 +39,7 @@ def decode_cube(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
     def code(_: Column, i: Column) -> Column:
-        position = F.floor(F.col("flat").cast("long") / F.get("strides", i)) % F.get("size", i)
+        position = F.call_function("div", F.col("flat").cast("long"), F.get("strides", i)) % F.get("size", i)
         codes = F.get("codes_at", i)
         there = F.get(codes, position.cast("int"))  # where positions run without gaps; else they are searched
         found = F.when(there["at"] == position, there["code"]).otherwise(

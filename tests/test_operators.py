@@ -1,3 +1,4 @@
+import json
 import math
 import random
 
@@ -300,6 +301,17 @@ def test_cube_decode(spark):
     assert got == [("A", "DE", "1", 30.0), ("A", "DE", "2020", 20.0), ("A", "FR", "2020", 10.0)]
 
 
+def test_cube_positions_beyond_doubles(spark):
+    """The last cell of a cube of more than 2^53 cells; a quotient in double rounds it up to a whole stride."""
+    from railmart.sources.cube import CUBE_SCHEMA
+
+    size = 2**31 - 1
+    doc = json.dumps({"id": ["a", "b"], "size": [size, size], "value": {str(size * size - 1): 1.5}, "dimension": {}})
+    cubes = spark.createDataFrame([(doc,)], "doc string").select(F.from_json("doc", CUBE_SCHEMA).alias("d")).select("d.*")
+    got = decode_cube(cubes).select("flat", F.col("codes")["a"].alias("a"), F.col("codes")["b"].alias("b")).collect()
+    assert [tuple(r) for r in got] == [(size * size - 1, str(size - 1), str(size - 1))]
+
+
 # --- numbers --------------------------------------------------------------------
 def test_dense_ids_have_no_gaps(spark):
     names = [f"n{i:04d}" for i in random.Random(2).sample(range(5000), 700)]
