@@ -13,9 +13,10 @@ How every link is found without pairing whole groups:
   fixed, so it may be sent to all tasks), then their hash. Only the order depends on the counters, never the result.
 * Linked sets share one of their first |A| - ceil(t |A|) + 1 shingles in that order, so only these short lists are
   shuffled. Common passages come last in it and fall out.
-* First each member of a list is searched against the list's smallest member only. Then pairs of one list that are still in
-  different components are searched if they share as many of their first shingles as a link needs, so no link between
-  components is missed and a group of N near copies costs N.
+* First each document is searched against the smallest of the smallest members of its lists, then, in lists that still hold
+  several components, each member against the list's smallest. Then pairs of one list that are still in different components
+  are searched if they share as many of their first shingles as a link needs, so no link between components is missed
+  and a group of N near copies costs N.
 * A search takes one document as query and merges the short inverted lists of its candidates by heap, then probes the
   long lists by binary search (DivideSkip), and keeps those that reach the overlap their sizes ask for.
 
@@ -238,6 +239,28 @@ def fits(n_a: str, place_a: str, n_b: str, place_b: str, percent: int) -> str:
     )
 
 
+def led(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the lead of a list and a member that may link with it."""
+    return lists.where("lead.id <> id").where(fits("lead.n", "lead.place", "n", "place", percent)).select(
+        F.col("lead.id").alias("a"), F.col("id").alias("b")
+    )
+
+
+def still_open(lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lists that hold several components, with those of the member and the lead, and (node, component). Drops `lists`."""
+    known = staged(components(links), "components")
+    placed = lists.drop("component", "lead_component").join(known, F.col("id") == F.col("node"), "left").withColumn(
+        "component", F.coalesce("component", "id")
+    ).drop("node")
+    several = placed.groupBy("token").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"),
+        F.min(F.when(F.col("id") == F.col("lead.id"), F.col("component"))).alias("lead_component"),
+    ).where("x < y")
+    out = staged(placed.join(several.select("token", "lead_component"), "token"), "lists")
+    drop_staged(lists)
+    return out, known
+
+
 def row_key(key: str, text: str) -> Column:
     """64 bits of id and text, never null; the place of nulls is hashed too."""
     return F.xxhash64(F.col(key).isNull(), F.col(key).cast("long"), F.col(text).isNull(), F.col(text))
@@ -272,19 +295,17 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
         .select("token", "id", "n", "place", "lead"), "lists"
     )
     drop_staged(profiled)
-    first = staged(
-        lists.where("lead.id <> id").where(fits("lead.n", "lead.place", "n", "place", percent))
-        .select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs"
-    )
+    # each document against the smallest lead it may link with: one pair each
+    first = staged(led(lists, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     links = search(first, sizes, docs, size, percent)
-    known = staged(components(links), "components")
-
-    placed = lists.join(known, F.col("id") == F.col("node"), "left").select(
-        "token", "id", "n", "place", F.coalesce("component", "id").alias("component")
+    lists, known = still_open(lists, links)
+    # against the other leads of lists that still hold several components
+    again = staged(
+        led(lists.where("component <> lead_component"), percent).distinct().join(first, ["a", "b"], "left_anti"), "pairs"
     )
-    several = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    open_lists = staged(placed.join(several.select("token"), "token", "left_semi"), "lists")
-    drop_staged(lists)
+    links = links.unionByName(search(again, sizes, docs, size, percent))
+    open_lists, known = still_open(lists, links)
+    first = first.unionByName(again)
     # shingles beyond the shorter reaching first part can add no more than that document has left
     second = (
         open_lists.alias("p").join(
@@ -301,7 +322,6 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
         .join(first, ["a", "b"], "left_anti")
     )
     second = staged(second, "pairs")
-    drop_staged(first)
     links = links.unionByName(search(second, sizes, docs, size, percent))
 
     named = df.select(row_key(key, text).alias("id"), F.col(key).cast("long").alias("doc")).distinct()
