@@ -2,13 +2,14 @@
 
 Texts (UTF-8 bytes) are cut where a gear rolling hash has its upper bits zero: h = 2 h + gear[byte], modulo 2^BITS, so a
 cut depends on the last BITS bytes only and cuts fall alike wherever a passage stands. Chunks hold `least` to `most` bytes.
-Of equal chunks (by 128-bit digest) the first by (id, place) stays and the others are dropped, whatever their text.
+Of equal chunks (by 128-bit digest) the first by (id, hash of id and text, place) stays and the others are dropped, whatever their text.
 
 A passage of several hundred bytes always holds whole chunks; its ragged ends up to the next cut stay. Null and empty texts
 have no chunks. A chunk shorter than `least` (only a text's last) counts, with `tails`, as equal to another such chunk if the
 chunks before both are equal too, or if both are whole texts; so a copy loses all its bytes, and texts that only end alike
-keep their ends. Without `tails` such chunks are never dropped, nor counted as repeats. Cuts fall between characters. Rows that share an id count as one text, so copies with one id keep their chunks. An empty table gives
-no rows. Added columns replace namesakes.
+keep their ends. Without `tails` such chunks are never dropped, nor counted as repeats. Cuts fall between characters. A row is known by its id and 64 bits
+of id and text: rows of one id lose their own chunks only, rows equal in both lose alike and none to the other. Rows without
+id come last. An empty table gives no rows. Added columns replace namesakes.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railmart.llm.bpe import schema_with, with_columns
-from railmart.llm.common import mix, staged, text_slices
+from railmart.llm.common import free_names, mix, row_key, staged, text_slices
 
 BITS = 16
 GEAR = (mix(np.arange(5001, 5257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 CUT_BITS = 6  # a cut every 64 bytes or so
 LEAST, MOST = 32, 512
+LAST_ID = (1 << 63) - 1  # place of rows without id
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
@@ -74,15 +76,15 @@ def cuts(data: np.ndarray, offsets: np.ndarray, least: int = LEAST, most: int =
 
 
 def chunked(docs: DataFrame, least: int, most: int, tails: bool) -> DataFrame:
-    """(hi, lo, id, start, size, again): the chunks of at least `least` bytes; again: not the first such one of its text.
+    """(hi, lo, id, row, start, size, again): the chunks of at least `least` bytes; again: not the first such one of its text.
 
     With `tails` also a short last chunk, its digest taken from where the chunk before it starts.
     """
     def run(batches):
         for batch, data, offsets in text_slices(batches):
-            hashes, ids, starts, sizes, again = [], [], [], [], []
+            hashes, of, starts, sizes, again = [], [], [], [], []
             raw = data.tobytes()
-            for k, base, ends in zip(batch.column(0).to_pylist(), offsets.tolist(), cuts(data, offsets, least, most)):
+            for k, (base, ends) in enumerate(zip(offsets.tolist(), cuts(data, offsets, least, most))):
                 before, last, met = 0, 0, set()
                 for end in ends:
                     whole = end - last >= least
@@ -92,7 +94,7 @@ def chunked(docs: DataFrame, least: int, most: int, tails: bool) -> DataFrame:
                             else blake2b(raw[base + before:base + end], digest_size=16, key=(last - before).to_bytes(4, "big"))
                         ).digest()
                         hashes.append(digest)
-                        ids.append(k)
+                        of.append(k)
                         starts.append(last)
                         sizes.append(end - last)
                         again.append(digest in met)
@@ -101,10 +103,10 @@ def chunked(docs: DataFrame, least: int, most: int, tails: bool) -> DataFrame:
             pair = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.ascontiguousarray(pair[:, 0])), pa.array(np.ascontiguousarray(pair[:, 1])),
-                pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(again, pa.bool_()),
-            ], ["hi", "lo", "id", "start", "size", "again"])
+                *(batch.column(name).take(pa.array(of, pa.int64())) for name in ("id", "row")), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(again, pa.bool_()),
+            ], ["hi", "lo", "id", "row", "start", "size", "again"])
 
-    return docs.mapInArrow(run, "hi long, lo long, id long, start long, size int, again boolean")
+    return docs.mapInArrow(run, "hi long, lo long, id long, row long, start long, size int, again boolean")
 
 
 def dedup(
@@ -115,31 +117,33 @@ def dedup(
     n_shared counts the text's chunks that occur in other texts too, n_repeated those dropped, n_removed their bytes;
     first_id is the smallest id that keeps a chunk this text has lost, null where nothing is lost.
     """
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    row = {"id": F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)), "row": row_key(key, text)}  # never null
+    docs = df.select(*(c.alias(name) for name, c in row.items()), F.col(text).alias("text"))
     found = chunked(docs, least, most, tails)
     first = (
-        found.where("not again").groupBy("hi", "lo").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
-        .where("first_id < last_id").drop("last_id")
+        found.where("not again").groupBy("hi", "lo").agg(F.min(F.struct("id", "row")).alias("first"), F.max(F.struct("id", "row")).alias("last"))
+        .where("first < last").select("hi", "lo", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"))
     )
     lost = found.join(first, ["hi", "lo"], "left").where("again or first_id is not null").withColumn(
-        "gone", F.expr("again or id > first_id")
+        "gone", F.expr("again or id > first_id or (id = first_id and row > first_row)")
     )
     lost = staged(
-        lost.groupBy("id").agg(  # the chunks of one text
+        lost.groupBy("id", "row").agg(  # the chunks of one text
             F.collect_set(F.when(F.col("gone"), F.struct("start", "size"))).alias("dropped"),
             F.size(F.collect_set(F.when(F.col("first_id").isNotNull(), F.col("start")))).cast("long").alias("n_shared"),
-            F.min(F.when(F.col("gone"), F.coalesce("first_id", "id"))).alias("first_id"),
+            F.nullif(F.min(F.when(F.col("gone"), F.coalesce("first_id", "id"))), F.lit(LAST_ID)).alias("first_id"),
         ), "chunks"
     )
     rest = df.drop("kept_text", "n_bytes", "n_shared", "n_repeated", "n_removed", "first_id")
-    joined = rest.join(lost.withColumnRenamed("id", "_id"), F.col(key) == F.col("_id"), "left").drop("_id").withColumn(
-        "n_shared", F.coalesce("n_shared", F.lit(0))
-    )
+    own_id, own_row, cut_chunks = free_names(df, "id", "row", "dropped")
+    joined = rest.withColumns({own_id: row["id"], own_row: row["row"]}).join(
+        lost.toDF(own_id, own_row, cut_chunks, "n_shared", "first_id"), [own_id, own_row], "left"
+    ).drop(own_id, own_row).withColumn("n_shared", F.coalesce("n_shared", F.lit(0)))
 
     def cut_out(batches):
         for batch, data, offsets in text_slices(batches, text):
             texts, repeated, removed = [], [], []
-            for i, dropped in enumerate(batch.column("dropped").to_pylist()):
+            for i, dropped in enumerate(batch.column(cut_chunks).to_pylist()):
                 own = data[offsets[i]:offsets[i + 1]]
                 keep = np.ones(len(own), bool)
                 for span in dropped or ():
@@ -147,12 +151,12 @@ def dedup(
                 texts.append(own[keep].tobytes().decode("utf-8", "replace"))
                 repeated.append(len(dropped or ()))
                 removed.append(int(len(own) - keep.sum()))
-            yield with_columns(batch.drop_columns(["dropped"]), {
+            yield with_columns(batch.drop_columns([cut_chunks]), {
                 "kept_text": pa.array(texts, pa.string()), "n_bytes": pa.array(np.diff(offsets), pa.int64()),
                 "n_repeated": pa.array(repeated, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
             })
 
-    return joined.mapInArrow(cut_out, schema_with(joined.drop("dropped"), [
+    return joined.mapInArrow(cut_out, schema_with(joined.drop(cut_chunks), [
         T.StructField("kept_text", T.StringType()), T.StructField("n_bytes", T.LongType()),
         T.StructField("n_repeated", T.LongType()), T.StructField("n_removed", T.LongType()),
     ]))

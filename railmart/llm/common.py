@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railmart.session import staging_folder
@@ -141,6 +141,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def row_key(key: str, text: str) -> Column:
+    """64 bits of id and text, never null; the place of nulls is hashed too."""
+    return F.xxhash64(F.col(key).isNull(), F.col(key).cast("long"), F.col(text).isNull(), F.col(text))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, led by underscores until `df` has no column of that name in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the undirected `edges` (a, b); a component is its smallest node.
 

@@ -32,11 +32,11 @@ from bisect import bisect_left
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railmart.llm.common import BLANK, LOWER, STEP, Spans, components, drop_staged, mix, partitions, runs, staged, text_slices
+from railmart.llm.common import BLANK, LOWER, STEP, Spans, components, drop_staged, mix, partitions, row_key, runs, staged, text_slices
 
 COUNTERS = 1 << 20  # size of the table of shingle counters
 COUNTER_BLOCK = 1 << 16
@@ -261,11 +261,6 @@ def still_open(lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame
     return out, known
 
 
-def row_key(key: str, text: str) -> Column:
-    """64 bits of id and text, never null; the place of nulls is hashed too."""
-    return F.xxhash64(F.col(key).isNull(), F.col(key).cast("long"), F.col(text).isNull(), F.col(text))
-
-
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """`df` with n_shingles and component_id, the smallest id reachable by links."""
     docs = df.select(row_key(key, text).alias("id"), F.col(text).alias("text"))

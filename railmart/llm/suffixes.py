@@ -13,8 +13,9 @@
 5. Repeated starts go back to all runs with that region, and to the documents.
 
 Strings are compared within documents only, as UTF-8 bytes, on the input and not on what is left. Regions and classes are told
-apart by 128 bits of hashes. Null and empty texts, and those shorter than `length`, lose nothing. Rows that share an id
-lose what any of them loses. An empty table gives no rows. What is left may begin or end within a character, so it is
+apart by 128 bits of hashes. Null and empty texts, and those shorter than `length`, lose nothing. A row
+is known by its id and 64 bits of id and text, so rows of one id lose their own strings only, and rows without id are judged
+like any other. An empty table gives no rows. What is left may begin or end within a character, so it is
 returned as bytes. Added columns replace namesakes.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railmart.llm.bpe import schema_with, with_columns
-from railmart.llm.common import STEP, Spans, drop_staged, mix, staged, text_slices
+from railmart.llm.common import STEP, Spans, drop_staged, free_names, mix, row_key, staged, text_slices
 
 SHARD_BYTES = 1 << 21
 MAX_RUN = 4096
@@ -98,17 +99,16 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def runs_in(docs: DataFrame, length: int) -> DataFrame:
-    """(id, start, n, key, d, e, twice): the runs of all texts."""
+    """(id, row, start, n, key, d, e, twice): the runs of all texts."""
     def run(batches):
         for batch, data, offsets in text_slices(batches):
             row, start, n, key, d, e, twice = runs_of(data, offsets, length)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[row], pa.int64(), from_pandas=True), pa.array(start, pa.int64()), pa.array(n.astype(np.int32)),
+                batch.column("id").take(pa.array(row)), batch.column("row").take(pa.array(row)), pa.array(start, pa.int64()), pa.array(n.astype(np.int32)),
                 *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, d, e)), pa.array(twice),
-            ], ["id", "start", "n", "key", "d", "e", "twice"])
+            ], ["id", "row", "start", "n", "key", "d", "e", "twice"])
 
-    return docs.mapInArrow(run, "id long, start long, n int, key long, d long, e long, twice boolean")
+    return docs.mapInArrow(run, "id long, row long, start long, n int, key long, d long, e long, twice boolean")
 
 
 def eight(text: np.ndarray) -> np.ndarray:
@@ -294,10 +294,12 @@ def merged(found: DataFrame) -> DataFrame:
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """`df` with kept (bytes), n_bytes, n_removed and n_spans (maximal removed runs)."""
-    docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    row = {"id": F.coalesce(F.col(key).cast("long"), F.lit(0)), "row": row_key(key, text)}  # never null
+    docs = df.select(*(c.alias(name) for name, c in row.items()), F.col(text).alias("text"))
     found = runs_in(docs, length)
     distinct = found.groupBy("key", "d", "e", "n").agg(
-        F.count(F.lit(1)).alias("times"), F.max("twice").alias("twice"), F.min("id").alias("id"), F.min_by("start", "id").alias("start")
+        F.count(F.lit(1)).alias("times"), F.max("twice").alias("twice"), F.min("row").alias("row"),
+        F.min_by("id", "row").alias("id"), F.min_by("start", "row").alias("start"),
     )
     per_key = distinct.groupBy("key").agg(
         F.sum("times").alias("total"), F.max("twice").alias("twice"), F.sum(F.col("n") + F.lit(length - 1)).alias("bytes")
@@ -310,10 +312,10 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
         F.col("split"),
         -1 - F.abs(F.xxhash64("key", F.pmod(F.col("d"), F.ceil(F.col("bytes") / (shard_bytes // 2)))) / 2).cast("long"),
     ).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("long")))
-    ids = placed.select("id").distinct()
+    ids = placed.select("id", "row").distinct()
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    wanted = placed.groupBy("id").agg(F.collect_list(F.struct("key", "d", "e", "n", "times", "start", "shard", "split")).alias("wanted"))
+    wanted = placed.groupBy("id", "row").agg(F.collect_list(F.struct("key", "d", "e", "n", "times", "start", "shard", "split")).alias("wanted"))
 
     def cut(batches):
         names = ["key", "d", "e", "n", "times", "shard", "split"]
@@ -327,7 +329,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], [*names, "body"])
 
     regions = (
-        docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).join(wanted, "id")
+        docs.join(ids, ["id", "row"], "left_semi").dropDuplicates(["id", "row"]).join(wanted, ["id", "row"])
         .mapInArrow(cut, "key long, d long, e long, n int, times long, shard long, split boolean, body binary")
     )
     starts = repeats(regions, length)
@@ -337,17 +339,20 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     drop_staged(kept)
 
     spans = staged(
-        found.join(again, ["key", "d", "e"]).where("id is not null").groupBy("id").agg(  # of one text
-            F.collect_list(F.struct((F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))).alias("spans")
+        found.join(again, ["key", "d", "e"]).groupBy("id", "row").agg(  # of one text
+            F.collect_set(F.struct((F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))).alias("spans")
         ), "spans"
     )
     rest = df.drop("kept", "n_bytes", "n_removed", "n_spans")
-    joined = rest.join(spans.withColumnRenamed("id", "_id"), F.col(key) == F.col("_id"), "left").drop("_id")
+    own_id, own_row, cut_spans = free_names(df, "id", "row", "spans")
+    joined = rest.withColumns({own_id: row["id"], own_row: row["row"]}).join(
+        spans.toDF(own_id, own_row, cut_spans), [own_id, own_row], "left"
+    ).drop(own_id, own_row)
 
     def remove(batches):
         for batch, data, offsets in text_slices(batches, text):
             left, removed, runs = [], [], []
-            for i, found in enumerate(batch.column("spans").to_pylist()):
+            for i, found in enumerate(batch.column(cut_spans).to_pylist()):
                 own = data[offsets[i]:offsets[i + 1]]
                 if found:
                     change = np.zeros(len(own) + 1, np.int64)
@@ -363,11 +368,11 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
                     runs.append(0)
                     removed.append(0)
                 left.append(own.tobytes())
-            yield with_columns(batch.drop_columns(["spans"]), {
+            yield with_columns(batch.drop_columns([cut_spans]), {
                 "kept": pa.array(left, pa.binary()), "n_bytes": pa.array(np.diff(offsets), pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(runs, pa.int64()),
             })
 
-    return joined.mapInArrow(remove, schema_with(joined.drop("spans"), [
+    return joined.mapInArrow(remove, schema_with(joined.drop(cut_spans), [
         T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
     ]))
