@@ -1,10 +1,10 @@
-"""Rows that share an id, rows without id and columns called like helpers, in chunk and suffix dedup."""
+"""Rows that share an id, rows without id and columns called like helpers, in chunk, line and suffix dedup."""
 
 import random
 
 from pyspark.sql import functions as F
 
-from railmart.llm import chunks, suffixes
+from railmart.llm import chunks, lines, suffixes
 
 
 def words(seed, n):
@@ -52,3 +52,15 @@ def test_suffixes_of_rows_that_share_an_id(texts):
 def test_equal_rows_repeat_each_other_in_suffixes(texts):
     found = suffixes.dedup(texts([(1, A), (1, A), (None, B), (None, B)]), length=400).collect()
     assert [r["n_removed"] for r in found] == [1500] * 4
+
+
+def test_lines_of_rows_that_share_an_id(texts):
+    one, other, own = words(4, 60), words(5, 60), words(6, 60)
+    rows = [(1, one), (2, one), (2, f"{other}\n{own}"), (None, f"{one}\nnobody else"), (None, None), (3, other)]
+    found = lines.dedup(with_helpers(texts(rows)), distance=None).collect()
+    got = {(r["doc_id"], r["text"]): (r["kept_text"], r["n_dropped"]) for r in found}
+    assert got == {
+        (1, one): (one, 0), (2, one): ("", 1), (2, f"{other}\n{own}"): (f"{other}\n{own}", 0),
+        (None, f"{one}\nnobody else"): ("nobody else", 1), (None, None): (None, 0), (3, other): ("", 1),
+    }
+    assert all(r[name] == f"own {name}" for r in found for name in HELPERS)
