@@ -9,14 +9,15 @@ component is the smallest id they reach, null if they reach none. Rows are told
 How every link is found without pairing whole groups:
 
 * Copies (equal sets) collapse to one row; everything below runs on these representatives.
-* Shingles get one order for all documents: how often a table of counters over all shingles has seen them (its size is
-  fixed, so it may be sent to all tasks), then their hash. Only the order depends on the counters, never the result.
+* Shingles get one order for all documents: how far a table of counters over all shingles stands above what chance puts there
+  (its size is fixed, so it may be sent to all tasks), then their hash. Only the order depends on the counters, never the result.
 * Linked sets share one of their first |A| - ceil(t |A|) + 1 shingles in that order, so only these short lists are
   shuffled. Common passages come last in it and fall out.
-* First each document is searched against the smallest of the smallest members of its lists, then, in lists that still hold
-  several components, each member against the list's smallest. Then pairs of one list that are still in different components
-  are searched if they share as many of their first shingles as a link needs, so no link between components is missed
-  and a group of N near copies costs N.
+* First each document is searched against one lead of its lists, then, in lists that still hold several components, each
+  member against all leads. A list is led by the member that is in most lists: in a group of near copies the text they come from,
+  which most of them link with, so the group is one component after N searches.
+* Members of different components are then paired only in the shortest of the lists they are in, as many as any link must
+  show in, and searched if they share as many of their first shingles as a link needs, so no link is missed.
 * A search takes one document as query and merges the short inverted lists of its candidates by heap, then probes the
   long lists by binary search (DivideSkip), and keeps those that reach the overlap their sizes ask for.
 
@@ -38,8 +39,8 @@ from pyspark.sql import types as T
 
 from railmart.llm.common import BLANK, LOWER, STEP, Spans, components, drop_staged, mix, partitions, row_key, runs, staged, text_slices
 
-COUNTERS = 1 << 20  # size of the table of shingle counters
-COUNTER_BLOCK = 1 << 16
+COUNTERS = 1 << 22  # size of the table of shingle counters
+COUNTER_BLOCK = 1 << 14
 BLOCK_SHINGLES = 200_000  # shingles of the candidates one search holds
 BROADCAST_ROWS = 300_000  # of three numbers each
 PROBE_WEIGHT = 0.05  # DivideSkip's mu
@@ -92,6 +93,7 @@ def profile(docs: DataFrame, size: int) -> DataFrame:
             ], ["id", "n", "digest", "block", "counters"])
         blocks = range(0, COUNTERS, COUNTER_BLOCK)
         used = [b // COUNTER_BLOCK for b in blocks if counters[b:b + COUNTER_BLOCK].any()]
+        counters = np.minimum(counters, 255).astype(np.uint8)  # of one task
         yield pa.RecordBatch.from_arrays([
             pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()),
             pa.array(used, pa.int32()),
@@ -101,27 +103,29 @@ def profile(docs: DataFrame, size: int) -> DataFrame:
     return staged(docs.mapInArrow(run, "id long, n long, digest binary, block int, counters binary"), "sets")
 
 
+def rarity(counters: np.ndarray) -> np.ndarray:
+    """Levels of one block of counters: 0 up to what chance adds to its median, then one more for every doubling."""
+    usual = float(np.median(counters))
+    return np.ceil(np.log2(np.maximum((counters - usual) / (6 * math.sqrt(usual) + 8), 1.0))).astype(np.uint8)
+
+
 def levels(profiled: DataFrame):
-    """Rarity levels of the counters, as a broadcast of COUNTERS bytes; blocks are added up in two rounds."""
+    """Rarity levels of the counters, as a broadcast of COUNTERS bytes; each block is added up in one task."""
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, blob in zip(batch.column("block").to_pylist(), batch.column("counters").to_pylist()):
-                values = np.frombuffer(blob, np.uint32 if len(blob) == 4 * COUNTER_BLOCK else np.uint64)
-                sums[block] = sums.get(block, np.zeros(COUNTER_BLOCK, np.uint64)) + values
+                sums.setdefault(block, np.zeros(COUNTER_BLOCK, np.int64))
+                sums[block] += np.frombuffer(blob, np.uint8)
         yield pa.RecordBatch.from_arrays([
-            pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary()),
+            pa.array(list(sums), pa.int32()), pa.array([rarity(v).tobytes() for v in sums.values()], pa.binary()),
         ], ["block", "counters"])
 
     blobs = profiled.where("block is not null").select("block", "counters")
-    blobs = blobs.repartition(partitions(blobs.sparkSession)).mapInArrow(add, blobs.schema)
-    blobs = blobs.repartition("block").mapInArrow(add, blobs.schema)
-    counters = np.zeros(COUNTERS, np.uint64)
-    for block, blob in blobs.collect():  # at most COUNTERS / COUNTER_BLOCK rows
-        counters[block * COUNTER_BLOCK:(block + 1) * COUNTER_BLOCK] += np.frombuffer(blob, np.uint64)
-    usual = 8 * counters.mean() + 8
-    level = np.ceil(np.log2(np.maximum(counters / usual, 1.0))).astype(np.uint8)
+    level = np.zeros(COUNTERS, np.uint8)
+    for block, blob in blobs.repartition("block").mapInArrow(add, blobs.schema).collect():  # at most COUNTERS / COUNTER_BLOCK rows
+        level[block * COUNTER_BLOCK:(block + 1) * COUNTER_BLOCK] = np.frombuffer(blob, np.uint8)
     return blobs.sparkSession.sparkContext.broadcast(level)
 
 
@@ -200,11 +204,7 @@ def search(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, size: int, perce
     blocks = pairs.join(load, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / BLOCK_SHINGLES)).alias("block")
     )
-    members = staged(
-        blocks.select("a", "block", F.col("b").alias("id")).unionByName(
-            blocks.select("a", "block", F.col("a").alias("id")).distinct()
-        ), "search"
-    )
+    members = staged(blocks.select("a", "block", F.explode(F.array("a", "b")).alias("id")).distinct(), "search")
     # both sides of a checked size, else joined by shuffles
     small = F.broadcast if members.count() <= BROADCAST_ROWS else lambda side: side
     ids = small(members.select("id").distinct())
@@ -231,34 +231,72 @@ def search(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, size: int, perce
     return out
 
 
-def fits(n_a: str, place_a: str, n_b: str, place_b: str, percent: int) -> str:
-    """SQL: may sets whose first common shingle is at these places link? What follows it must be enough."""
+def headed(lists: DataFrame) -> DataFrame:
+    """`lists` with live, how many of them a member is in, before, how many of these come first in its set, and the lead of
+    each list: the member that is in most.
+
+    Near copies of one text share more with that text than with each other, so it leads their lists.
+    """
+    return lists.selectExpr(
+        "*", "cast(count(1) OVER (PARTITION BY id) AS int) AS live", "row_number() OVER (PARTITION BY id ORDER BY place) - 1 AS before"
+    ).withColumn(
+        "lead", F.expr("first_value(struct(id, n, place, component, live, before)) OVER (PARTITION BY token ORDER BY live DESC, id)")
+    )
+
+
+def reaches(a: str, b: str, percent: int) -> str:
+    """SQL: may these members of a list link? False for no list of a linked pair.
+
+    They share at most what both have before this shingle, and from it on what either has left, or the lists both are
+    still in and what lies beyond the first part that ends earlier.
+    """
+    beyond = f"ceil(greatest({a}.n, {b}.n) * {percent} / 100) - 1"
     return (
-        f"100 * least({n_a} - {place_a}, {n_b} - {place_b}) >= "
-        f"{percent} * ({n_a} + {n_b} - least({n_a} - {place_a}, {n_b} - {place_b}))"
+        f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) AND {100 + percent} * (least({a}.before, {b}.before) "
+        f"+ least({a}.n - {a}.place, {b}.n - {b}.place, {a}.live - {a}.before + {beyond}, {b}.live - {b}.before + {beyond})) "
+        f">= {percent} * ({a}.n + {b}.n)"
     )
 
 
+def rarest(lists: DataFrame, percent: int) -> DataFrame:
+    """Per member of open lists (id, n, component, tokens, probes): all of its lists, and those that any link must show in.
+
+    Sets that link share at least `shared` lists, which is least for the smallest or the largest size met. Of two members that
+    share c lists or more, the first live - c + 1 of both, in the order of the lists' lengths, have one in common.
+    """
+    window = "OVER (PARTITION BY token)"
+    held = lists.selectExpr("*", f"min(n) {window} AS least", f"max(n) {window} AS most", f"count(1) {window} AS members")
+    per_id = held.groupBy("id", "n", "component").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"),
+        F.sort_array(F.collect_list(F.struct("members", "token", "place", "live", "before"))).alias("probes"),  # of one document
+    )
+    def shared(m: str) -> str:
+        return f"greatest(0L, {percent}L * (100 * (n + {m}) - {100 + percent} * greatest(n, {m}))) div {100 * (100 + percent)} + 1"
+
+    smaller, larger = f"greatest(least, cast(ceil(n * {percent} / 100) AS int))", f"least(most, cast(floor(n * 100 / {percent}) AS int))"
+    return per_id.selectExpr("id", "n", "component", "probes.token AS tokens", f"size(probes) - least({shared(smaller)}, {shared(larger)}) + 1 AS first", "probes").where(
+        "first > 0"
+    ).withColumn("probes", F.expr("slice(probes, 1, cast(first AS int))")).drop("first")
+
+
 def led(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the lead of a list and a member that may link with it."""
-    return lists.where("lead.id <> id").where(fits("lead.n", "lead.place", "n", "place", percent)).select(
-        F.col("lead.id").alias("a"), F.col("id").alias("b")
+    """(a, b, live): the lead of a list, a member of another component that may link with it, and live of the lead."""
+    own = lists.withColumn("own", F.expr("struct(n, place, live, before)")).where("lead.component <> component")
+    return own.where(reaches("lead", "own", percent)).select(
+        F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.live").alias("live")
     )
 
 
-def still_open(lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lists that hold several components, with those of the member and the lead, and (node, component). Drops `lists`."""
+def still_open(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """(token, id, n, place, component) of the lists that hold several components. Drops `lists`."""
     known = staged(components(links), "components")
-    placed = lists.drop("component", "lead_component").join(known, F.col("id") == F.col("node"), "left").withColumn(
+    placed = lists.select("token", "id", "n", "place").join(known, F.col("id") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "id")
     ).drop("node")
-    several = placed.groupBy("token").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"),
-        F.min(F.when(F.col("id") == F.col("lead.id"), F.col("component"))).alias("lead_component"),
-    ).where("x < y")
-    out = staged(placed.join(several.select("token", "lead_component"), "token"), "lists")
+    several = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    out = staged(placed.join(several.select("token"), "token"), "lists")
     drop_staged(lists)
-    return out, known
+    return out
 
 
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -282,39 +320,34 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
     window = "PARTITION BY token ORDER BY id"
     lists = staged(
         prefixes(reps, size, percent, level)
-        .selectExpr(
-            "token", "id", "n", "place", f"first_value(struct(id, n, place)) OVER ({window}) AS lead",
-            f"lag(id) OVER ({window}) AS before", f"lead(id) OVER ({window}) AS after",
-        )
+        .selectExpr("token", "id", "n", "place", f"lag(id) OVER ({window}) AS before", f"lead(id) OVER ({window}) AS after")
         .where("before is not null or after is not null")  # a list of one member holds no link
-        .select("token", "id", "n", "place", "lead"), "lists"
+        .selectExpr("token", "id", "n", "place", "id AS component"), "lists"
     )
     drop_staged(profiled)
-    # each document against the smallest lead it may link with: one pair each
-    first = staged(led(lists, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = search(first, sizes, docs, size, percent)
-    lists, known = still_open(lists, links)
-    # against the other leads of lists that still hold several components
-    again = staged(
-        led(lists.where("component <> lead_component"), percent).distinct().join(first, ["a", "b"], "left_anti"), "pairs"
+    # each document against the one of its leads that is in most lists: one pair each
+    first = staged(
+        led(headed(lists), percent).groupBy("b").agg(F.max_by("a", F.struct("live", "a")).alias("a")).select("a", "b"), "pairs"
     )
+    links = search(first, sizes, docs, size, percent)
+    lists = still_open(lists, links)
+    # against all leads of the lists that still hold several components
+    again = staged(led(headed(lists), percent).select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(search(again, sizes, docs, size, percent))
-    open_lists, known = still_open(lists, links)
     first = first.unionByName(again)
-    # shingles beyond the shorter reaching first part can add no more than that document has left
-    second = (
-        open_lists.alias("p").join(
-            open_lists.alias("q"),
-            F.expr("p.token = q.token AND p.component < q.component "
-                   f"AND 100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)"),
-        )
-        .selectExpr(
-            "least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b", "p.n + q.n AS both",
-            f"ceil(greatest(p.n, q.n) * {percent} / 100) - 1 AS rest", fits("p.n", "p.place", "q.n", "q.place", percent) + " AS fits",
+    members = staged(rarest(headed(still_open(lists, links)).drop("lead"), percent), "members")
+    probes = members.select("id", "n", "component", F.explode("probes").alias("probe")).select("id", "n", "component", "probe.*")
+    met = (
+        probes.alias("p").join(
+            probes.alias("q"), F.expr(f"p.token = q.token AND p.component < q.component AND {reaches('p', 'q', percent)}"),
         )
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.max("both").alias("both"), F.max("rest").alias("rest"), F.max("fits").alias("fits"))
-        .where(f"fits AND {100 + percent} * (common + rest) >= {percent} * both").select("a", "b")
-        .join(first, ["a", "b"], "left_anti")
+        .selectExpr("least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b").distinct()
+    )
+    own = members.select("id", "n", "tokens")
+    second = (
+        met.join(own.toDF("a", "n", "x"), "a").join(own.toDF("b", "m", "y"), "b")
+        .where(f"{100 + percent} * (size(array_intersect(x, y)) + ceil(greatest(n, m) * {percent} / 100) - 1) >= {percent} * (n + m)")
+        .select("a", "b").join(first, ["a", "b"], "left_anti")
     )
     second = staged(second, "pairs")
     links = links.unionByName(search(second, sizes, docs, size, percent))

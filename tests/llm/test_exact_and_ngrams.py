@@ -137,3 +137,29 @@ def test_t_occurrence_against_counting():
             if 100 * len(np.intersect1d(query, s)) >= 80 * len(np.union1d(query, s))
         ]
         assert sorted(ngram_join.t_occurrence(query, sets, 80)) == want
+
+
+def test_near_copies_of_one_text_cost_few_searches(texts, monkeypatch):
+    """Edits that leave some copies linked with the text, and others with nothing: no search of all pairs."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(k, " ".join(edited(rng, base, rng.choice([0.007, 0.015, 0.03])))) for k in range(1, 160)] + [(500, " ".join(base))]
+    searched, plain = [], ngram_join.search
+
+    def search(pairs, *rest):
+        searched.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "search", search)
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.link(texts(rows)).collect()}
+    assert found == linked(rows)[1] and 60 < max(list(found.values()).count(c) for c in found.values()) < 150
+    assert sum(searched) < 3 * len(rows)
+
+
+def test_a_common_shingle_stands_out_of_full_counters():
+    import numpy as np
+
+    counters = np.random.default_rng(2).poisson(2000, 1 << 14)
+    counters[[5, 700]] += [400, 100_000]
+    level = ngram_join.rarity(counters)
+    assert 0 < level[5] < level[700] and (level > 0).sum() < 20
