@@ -14,6 +14,7 @@ from railmart.operators.nearest import (
 from railmart.operators.planes import corridors_of, plane_corridors
 from railmart.operators.profile import map_lines
 from railmart.operators.star import fact_corridors
+from railmart.session import cut_lineage, drop_staged
 from railmart.sources.airports import usable_airports
 
 LINK_COLUMNS = ["station_name", "airport_name", "iata_code", "country_code", "station_airport_km"]
@@ -106,7 +107,10 @@ def vehicle_factors(spark, sf):
 
 
 def map_lines_query(spark, sf):
-    lines = map_lines(fact_corridors(S.routes(spark, sf)))
+    routes = S.routes(spark, sf)
+    fact = cut_lineage(fact_corridors(routes))
+    drop_staged(routes)
+    lines = map_lines(fact)
     return S.rounded(lines, 2, "station_lat station_long station_lat_dest station_long_dest")
 
 
