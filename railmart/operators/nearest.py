@@ -13,6 +13,7 @@ from railmart.functions.once import with_once
 from railmart.operators.keep import keep_first
 
 FULL_CIRCLE = 360
+SPREAD = 4
 
 
 def stations_of(routes: DataFrame, *also: str) -> DataFrame:
@@ -54,6 +55,7 @@ def nearby_pairs(
     airports: DataFrame,
     radius_km: float = C.AIRPORT_RADIUS_KM,
     band: float | None = C.AIRPORT_BAND_DEG,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Pairs within `radius_km` and, unless `band` is None, within `band` degrees on both axes.
 
@@ -61,8 +63,12 @@ def nearby_pairs(
     the cells its reach touches (nine at most with a band) and a point to exactly one; the
     conditions on the pair then are exact. Without a band the reach in longitude is that of the
     circle at the airport's latitude, and cells go round the globe.
+
+    Pairs may be many more than rows, which no file or shuffle size shows: with a `spread` the points of a cell are dealt over so many
+    parts, to each of which its airports go, and all parts over all shuffle partitions, however small the tables are.
     """
     reach_lat = degrees_of_latitude(radius_km)
+    far_lat = reach_lat
     if band is not None:
         reach_lat = min(reach_lat, band)
     size_lon = band or 1.0
@@ -76,16 +82,23 @@ def nearby_pairs(
     if wrap:
         lon_cells = F.array_distinct(F.transform(lon_cells, lambda c: F.pmod(c, F.lit(FULL_CIRCLE))))
         point_lon_cell = F.pmod(point_lon_cell, F.lit(FULL_CIRCLE))
-    spread = airports.withColumn(
+    reached = airports.withColumn(
         "cell_y", F.explode(cells(F.col("aero_lat"), F.lit(reach_lat), reach_lat))
     ).withColumn("cell_x", F.explode(lon_cells))
     located = points.withColumns(
         {"cell_y": cell(F.col("station_lat"), reach_lat), "cell_x": point_lon_cell}
     )
     here = (F.col("station_lat"), F.col("station_long"), F.col("aero_lat"), F.col("aero_long"))
-    pairs = located.join(spread, ["cell_y", "cell_x"]).drop("cell_y", "cell_x")
+    keys = ["cell_y", "cell_x"]
+    if spread > 1:
+        keys.append("part")
+        n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        located = located.withColumn("part", F.pmod(F.xxhash64(*points.columns), F.lit(spread))).repartition(n, *keys)
+        reached = reached.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+    pairs = located.join(reached, keys).drop(*keys)
     if band is not None:
         pairs = pairs.where(within_band(*here, band))
+    pairs = pairs.where(F.abs(F.col("station_lat") - F.col("aero_lat")) <= far_lat)  # farther ones need no distance
     return with_once(pairs, {"station_airport_km": haversine(*here)}).where(
         F.col("station_airport_km") <= radius_km
     )
@@ -113,7 +126,7 @@ def nearest_airports(
     Distances are compared to the millimetre; ties go by code and name.
     """
     places = stations.select("station_lat", "station_long").distinct()
-    pairs = nearby_pairs(places, distinct_airports(airports), radius_km, band)
+    pairs = nearby_pairs(places, distinct_airports(airports), radius_km, band, spread=1)
     candidate = F.struct(
         F.round("station_airport_km", 6).alias("mm"),
         "iata_code", "airport_name", "aero_lat", "aero_long", "country_code", "station_airport_km",
