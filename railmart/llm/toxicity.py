@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railmart.llm.bpe import schema_with, with_columns
-from railmart.llm.common import LOWER, STEP, Spans, mix, runs, text_slices
+from railmart.llm.common import LOWER, STEP, Spans, give_back, mix, runs, text_slices
 
 WINDOW, STRIDE = 16, 8
 PIECES = (4, 7)
@@ -289,7 +289,10 @@ def train(
         .where(F.length("_text") <= longest).collect()
     )
     sample.sort(key=lambda r: (r["_id"], r["_text"]))
-    return fit([r["_text"] for r in sample], np.array([r["_label"] for r in sample]), base)
+    model = fit([r["_text"] for r in sample], np.array([r["_label"] for r in sample]), base)
+    del sample
+    give_back()
+    return model
 
 
 def score(df: DataFrame, model: dict, text: str = "text", threshold: float = 0.3) -> DataFrame:
